@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablebridge.llm import bpe_codec, language_id, token_counts
+from tablebridge.llm import bpe_codec, language_id, quality, token_counts
 
 #: Production parameters.
 VOCABULARY = "byte_bpe_50k.json"
@@ -43,6 +43,13 @@ def language_model(docs: DataFrame) -> language_id.ByteNet | None:
     return language_id.train(texts, labels) if texts else None
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = quality.fit(docs, _table(spark, sf_dir, "labels").where(_fold("doc_id", 3) != 1))
+    scored = quality.score(docs, model)
+    return scored.select("doc_id", (_fold("doc_id", 3) == 1).alias("held_out"), "score", F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"))
+
+
 def op8_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_codec.round_trip(_table(spark, sf_dir, "documents"), _vocabulary())
 
@@ -50,6 +57,7 @@ def op8_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_language_id": op2_language_id,
+    "op3_quality": op3_quality,
     "op8_bpe_codec": op8_bpe_codec,
 }
 
