@@ -154,3 +154,26 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         if not changed:
             return labels
     raise RuntimeError("components did not settle")
+
+
+def groups(batches: Iterable[pa.RecordBatch], keys: int) -> Iterator[tuple[tuple, pa.Table]]:
+    """Runs of rows equal in the first ``keys`` columns, of rows that come sorted by them; holds one run at a time."""
+    held: list[pa.RecordBatch] = []
+    at: tuple | None = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        columns = [batch.column(i).to_pylist() for i in range(keys)]
+        tuples = list(zip(*columns, strict=True))
+        start = 0
+        for i in range(1, len(tuples) + 1):
+            if i < len(tuples) and tuples[i] == tuples[start]:
+                continue
+            if held and tuples[start] != at:
+                yield at, pa.Table.from_batches(held)
+                held = []
+            at = tuples[start]
+            held.append(batch.slice(start, i - start))
+            start = i
+    if held:
+        yield at, pa.Table.from_batches(held)

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablebridge.llm import bpe_codec, language_id, quality, token_counts
+from tablebridge.llm import bpe_codec, language_id, minhash, quality, token_counts
 
 #: Production parameters.
 VOCABULARY = "byte_bpe_50k.json"
@@ -50,6 +50,10 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (_fold("doc_id", 3) == 1).alias("held_out"), "score", F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"))
 
 
+def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(_table(spark, sf_dir, "documents"), minhash.Settings(words=2))
+
+
 def op8_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_codec.round_trip(_table(spark, sf_dir, "documents"), _vocabulary())
 
@@ -58,6 +62,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_language_id": op2_language_id,
     "op3_quality": op3_quality,
+    "op6_minhash": op6_minhash,
     "op8_bpe_codec": op8_bpe_codec,
 }
 
