@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablebridge.llm import bpe_codec, language_id, minhash, quality, substrings, token_counts
+from tablebridge.llm import bpe_codec, decontam, language_id, minhash, quality, substrings, token_counts
 
 #: Production parameters.
 VOCABULARY = "byte_bpe_50k.json"
@@ -62,6 +62,10 @@ def op9_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.remove_repeats(_table(spark, sf_dir, "documents"), 50, digest=True)
 
 
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_language_id": op2_language_id,
@@ -69,6 +73,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_minhash": op6_minhash,
     "op8_bpe_codec": op8_bpe_codec,
     "op9_substrings": op9_substrings,
+    "op10_decontamination": op10_decontamination,
 }
 
 #: DuckDB SQL where SQL can express the operator.
