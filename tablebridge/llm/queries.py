@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablebridge.llm import bpe_codec, decontam, language_id, minhash, quality, substrings, token_counts
+from tablebridge.llm import bpe_codec, decontam, language_id, minhash, quality, secret_scan, substrings, token_counts
 
 #: Production parameters.
 VOCABULARY = "byte_bpe_50k.json"
@@ -50,6 +50,11 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (_fold("doc_id", 3) == 1).alias("held_out"), "score", F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"))
 
 
+def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.findings(_table(spark, sf_dir, "documents"), path_col="source").where("is_secret")
+    return found.select("doc_id", "at", F.length("value").cast("long").alias("n_chars"), F.round("score", 6).alias("score"), F.sha2("value", 256).alias("value_sha256"))
+
+
 def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(_table(spark, sf_dir, "documents"), minhash.Settings(words=2))
 
@@ -70,6 +75,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_language_id": op2_language_id,
     "op3_quality": op3_quality,
+    "op5_secret_scan": op5_secret_scan,
     "op6_minhash": op6_minhash,
     "op8_bpe_codec": op8_bpe_codec,
     "op9_substrings": op9_substrings,
