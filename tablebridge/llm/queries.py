@@ -8,11 +8,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablebridge.llm import bpe_codec, decontam, language_id, minhash, quality, secret_scan, substrings, token_counts
+from tablebridge.llm import bpe_codec, decontam, language_id, minhash, pii, quality, secret_scan, substrings, token_counts
 
 #: Production parameters.
 VOCABULARY = "byte_bpe_50k.json"
 TOKEN_LIMIT = 1024
+#: A deployment passes its own secret key to the operator; the query's is fixed so that its result is.
+PII_KEY = "tablebridge"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -59,6 +61,12 @@ def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(_table(spark, sf_dir, "documents"), minhash.Settings(words=2))
 
 
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = pii.pseudonymize(_table(spark, sf_dir, "documents").select("doc_id", "text"), PII_KEY)
+    counts = [F.size(F.array_remove(F.transform("pii", lambda m: F.when(m["kind"] == kind, 1).otherwise(0)), 0)).cast("long").alias(f"n_{kind}") for kind in pii.PATTERNS]
+    return made.select("doc_id", "text", F.size("pii").cast("long").alias("n_replaced"), *counts)
+
+
 def op8_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_codec.round_trip(_table(spark, sf_dir, "documents"), _vocabulary())
 
@@ -77,6 +85,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_quality": op3_quality,
     "op5_secret_scan": op5_secret_scan,
     "op6_minhash": op6_minhash,
+    "op7_pii": op7_pii,
     "op8_bpe_codec": op8_bpe_codec,
     "op9_substrings": op9_substrings,
     "op10_decontamination": op10_decontamination,
