@@ -176,3 +176,20 @@ def predict(docs: DataFrame, net: ByteNet | None, id_col: str = "doc_id", text_c
 
     kind = docs.schema[id_col].dataType.simpleString()
     return map_arrow(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), run, f"id {kind}, lang_pred string, score double").withColumnRenamed("id", id_col)
+
+
+def keep_identified(docs: DataFrame, net: ByteNet | None, min_score: float = 0.5, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` whose language is known: not ``und``, and likelier than ``min_score``. All columns stay; no shuffle."""
+    names = docs.columns
+    at = names.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = Scorer(net) if net else None
+        for b in pieces(batches):
+            keep = []
+            for text in b.column(at).to_pylist():
+                known = scorer is not None and bool(text) and any(map(str.isalpha, text))
+                keep.append(known and float(scorer.probabilities(cut_windows(text.encode("utf-8", "replace"), net.window)).mean(axis=0).max()) > min_score)
+            yield b.filter(pa.array(keep, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)

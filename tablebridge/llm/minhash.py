@@ -267,3 +267,17 @@ def _representative_links(texts: DataFrame, reps: DataFrame, s: Settings) -> Dat
     spread = travel.groupBy("cluster", "to").count().select("cluster", "to", F.ceil(F.col("count") / s.block).cast("int").alias("chunks"))
     guests = travel.join(spread, ["cluster", "to"]).select("cluster", F.col("to").alias("block"), F.pmod(F.xxhash64("id", F.lit(2)), F.col("chunks")).cast("int").alias("chunk"), "id", "signature", "shingles")
     return links.unionByName(cut(_visits(rows, guests, s)).select("a", "b"))
+
+
+def drop_near_duplicates(docs: DataFrame, settings: Settings = Settings(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that stand for their component; of rows that share an id one stays, rows with a null id all do.
+
+    Only rows whose id may be among those to go are shuffled with their texts.
+    """
+    found = cut(near_duplicates(docs, settings, id_col, text_col).select(id_col, "kept"))
+    gone = cut(found.where("not kept").select(F.col(id_col).alias("_gone")).distinct())
+    repeated = found.where(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("_gone")).count().where("count > 1").select("_gone")
+    known, unknown = docs.where(F.col(id_col).isNotNull()), docs.where(F.col(id_col).isNull())
+    maybe, clean = split_by_bitmap(known, id_col, id_bitmap(gone.union(repeated), "_gone"))
+    stay = maybe.join(gone, F.col(id_col) == F.col("_gone"), "left_anti").dropDuplicates([id_col])
+    return clean.unionByName(stay).unionByName(unknown)
