@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablebridge.llm import bpe_codec, decontam, language_id, minhash, pii, quality, secret_scan, substrings, token_counts
+from tablebridge.llm import ann, bpe_codec, decontam, language_id, minhash, pii, quality, secret_scan, substrings, token_counts
 
 #: Production parameters.
 VOCABULARY = "byte_bpe_50k.json"
@@ -52,6 +52,10 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (_fold("doc_id", 3) == 1).alias("held_out"), "score", F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"))
 
 
+def op4_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(_table(spark, sf_dir, "embeddings"), "id % 100 = 0", k=10)
+
+
 def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secret_scan.findings(_table(spark, sf_dir, "documents"), path_col="source").where("is_secret")
     return found.select("doc_id", "at", F.length("value").cast("long").alias("n_chars"), F.round("score", 6).alias("score"), F.sha2("value", 256).alias("value_sha256"))
@@ -83,6 +87,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_language_id": op2_language_id,
     "op3_quality": op3_quality,
+    "op4_neighbours": op4_neighbours,
     "op5_secret_scan": op5_secret_scan,
     "op6_minhash": op6_minhash,
     "op7_pii": op7_pii,
