@@ -188,7 +188,7 @@ class RemoteWriter(DataSourceArrowWriter):
 
 
 def arrow_schema(schema: T.StructType) -> pa.Schema:
-    return to_arrow_schema(schema, timezone="UTC")
+    return to_arrow_schema(schema)
 
 
 def staged_batches(paths: list[str]) -> Iterator[pa.RecordBatch]:

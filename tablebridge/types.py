@@ -26,10 +26,10 @@ def decimal_type(precision: int | None, scale: int | None) -> T.DataType:
 
 
 def _sized(name: str) -> tuple[str, list[int]]:
-    m = re.match(r"^\s*([^(]+?)\s*(?:\(\s*([\d\s,]+)\))?\s*([^()]*)$", name)
+    m = re.match(r"^\s*([^(]+?)\s*(?:\(\s*([\d\s,]+)\)\s*([^()]*))?$", name)
     if not m:
         return name.strip().lower(), []
-    base = f"{m[1]} {m[3]}".strip().lower()
+    base = f"{m[1]} {m[3] or ''}".strip().lower()
     return re.sub(r"\s+", " ", base), [int(x) for x in m[2].split(",")] if m[2] else []
 
 
