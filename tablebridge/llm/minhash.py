@@ -227,7 +227,8 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings(), id_col: st
     s = settings
     base = cut(signatures(docs, s, id_col, text_col))
     full = base.where("n > 0 and id is not null")
-    classes = full.groupBy("key1", "key2").agg(F.min("id").alias("rep"))
+    # Written out, so that the join's two sides are plain exchanges: Spark splits the hot keys of such a join.
+    classes = cut(full.groupBy("key1", "key2").agg(F.min("id").alias("rep")))
     member = full.select("id", "key1", "key2").join(classes, ["key1", "key2"]).where("id <> rep").select(F.col("id").alias("a"), F.col("rep").alias("b"))
     reps = full.join(classes.select(F.col("rep").alias("id")).distinct(), "id", "left_semi")
     links = _representative_links(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")), cut(reps.select("id", "signature", "bands")), s)
@@ -238,7 +239,7 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings(), id_col: st
 
 def _representative_links(texts: DataFrame, reps: DataFrame, s: Settings) -> DataFrame:
     banded = reps.select("id", F.explode("bands").alias("band"))
-    buckets = banded.groupBy("band").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first <> last").select("band", "first")
+    buckets = cut(banded.groupBy("band").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first <> last").select("band", "first"))
     star = cut(banded.join(buckets, "band").where("id <> first").select(F.col("id").alias("a"), F.col("first").alias("b")).distinct())
     clusters = components(star).withColumnRenamed("component", "cluster")
     sizes = clusters.groupBy("cluster").count().select("cluster", F.ceil(F.col("count") / s.block).cast("int").alias("blocks"))
