@@ -85,14 +85,16 @@ def repeated_windows(docs: DataFrame, length: int) -> tuple[DataFrame, DataFrame
     without whole copies) and (id, copies array<long>: keys of whole texts that equal an earlier document's)."""
     docs = docs.where("id is not null")
     base = cut(_base(docs, length))
-    classes = base.groupBy("key1", "key2").agg(F.min("id").alias("rep"), F.max("id").alias("last"))
+    # Aggregates are written out before they are joined, so that the joins' two sides are plain exchanges: Spark splits
+    # the hot keys of such joins.
+    classes = cut(base.groupBy("key1", "key2").agg(F.min("id").alias("rep"), F.max("id").alias("last")))
     copies = base.join(classes.where("rep <> last"), ["key1", "key2"]).where("id <> rep").groupBy("id").agg(F.collect_set("key1").alias("copies"))
     reps = base.join(classes.select("key1", F.col("rep").alias("id")).distinct(), ["key1", "id"], "left_semi").select("id", F.explode("anchors").alias("anchor"))
-    shared = reps.groupBy("anchor").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first <> last").select("anchor")
+    shared = cut(reps.groupBy("anchor").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first <> last").select("anchor"))
     hits = cut(reps.join(shared, "anchor").groupBy("id").agg(F.collect_set("anchor").alias("hits")))
     maybe, _ = split_by_bitmap(docs, "id", id_bitmap(hits, "id"))
     full = _extended(maybe.join(hits, "id"), length)
-    first = full.groupBy("k", "low").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first <> last").select("k", "low", "first")
+    first = cut(full.groupBy("k", "low").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first <> last").select("k", "low", "first"))
     removed = cut(full.join(first, ["k", "low"]).where("id > first").groupBy("id").agg(F.collect_set("k").alias("keys")))
     return removed, cut(copies)
 
