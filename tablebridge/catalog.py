@@ -197,7 +197,10 @@ class Database:
             return self._insert_duckdb(name, given, mode, rule, on_commit)
         options = {**self.options, "table": name} | ({"on_conflict": rule} if rule else {})
         before = given.count()
-        given.write.format(_FORMATS[self.system].name()).options(**options).mode("append" if mode == "append" else "overwrite").save()
+        try:
+            given.write.format(_FORMATS[self.system].name()).options(**options).mode(mode).save()
+        except Exception as e:
+            raise classify(e) from e
         return before
 
     def _insert_duckdb(self, name: str, df: DataFrame, mode: str, rule: str | None, on_commit) -> int:
