@@ -124,12 +124,12 @@ def id_bitmap(ids: DataFrame, column: str, bits: int = BITMAP_BITS) -> DataFrame
 def split_by_bitmap(df: DataFrame, column: str, bitmap: DataFrame, bits: int = BITMAP_BITS) -> tuple[DataFrame, DataFrame]:
     """(rows whose id may occur, rows whose id surely doesn't). The broadcast side holds bits / 8 bytes at most."""
     at = F.pmod(F.xxhash64(F.col(column)), F.lit(bits))
-    right = bitmap.select(F.col("block").alias("_block"), F.col("bitmap").alias("_bitmap"))
-    joined = df.join(F.broadcast(right), F.bitmap_bucket_number(at).cast("int") == F.col("_block"), "left")
+    right = bitmap.select(F.col("block").alias("__tb_block"), F.col("bitmap").alias("__tb_bitmap"))
+    joined = df.join(F.broadcast(right), F.bitmap_bucket_number(at).cast("int") == F.col("__tb_block"), "left")
     position = F.bitmap_bit_position(at).cast("int")
-    byte = F.conv(F.hex(F.substring("_bitmap", F.lit(1) + F.shiftright(position, 3), F.lit(1))), 16, 10).cast("int")
+    byte = F.conv(F.hex(F.substring("__tb_bitmap", F.lit(1) + F.shiftright(position, 3), F.lit(1))), 16, 10).cast("int")
     hit = F.coalesce(F.getbit(byte, position.bitwiseAND(7)) == 1, F.lit(False))
-    return joined.where(hit).drop("_block", "_bitmap"), joined.where(~hit).drop("_block", "_bitmap")
+    return joined.where(hit).drop("__tb_block", "__tb_bitmap"), joined.where(~hit).drop("__tb_block", "__tb_bitmap")
 
 
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:

@@ -276,9 +276,9 @@ def drop_near_duplicates(docs: DataFrame, settings: Settings = Settings(), id_co
     Only rows whose id may be among those to go are shuffled with their texts.
     """
     found = cut(near_duplicates(docs, settings, id_col, text_col).select(id_col, "kept"))
-    gone = cut(found.where("not kept").select(F.col(id_col).alias("_gone")).distinct())
-    repeated = found.where(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("_gone")).count().where("count > 1").select("_gone")
+    gone = cut(found.where("not kept").select(F.col(id_col).alias("__tb_gone")).distinct())
+    repeated = found.where(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("__tb_gone")).count().where("count > 1").select("__tb_gone")
     known, unknown = docs.where(F.col(id_col).isNotNull()), docs.where(F.col(id_col).isNull())
-    maybe, clean = split_by_bitmap(known, id_col, id_bitmap(gone.union(repeated), "_gone"))
-    stay = maybe.join(gone, F.col(id_col) == F.col("_gone"), "left_anti").dropDuplicates([id_col])
+    maybe, clean = split_by_bitmap(known, id_col, id_bitmap(gone.union(repeated), "__tb_gone"))
+    stay = maybe.join(gone, F.col(id_col) == F.col("__tb_gone"), "left_anti").dropDuplicates([id_col])
     return clean.unionByName(stay).unionByName(unknown)

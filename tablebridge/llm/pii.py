@@ -216,7 +216,7 @@ def pseudonymize(docs: DataFrame, key: str, text_col: str = "text") -> DataFrame
     """``docs`` with pseudonyms in text_col, and pii array<struct<kind, value>>: what was put in, in order; no shuffle."""
     text, secret = F.col(text_col), F.lit(key)
     some = text.rlike(CANDIDATE)
-    rows = docs.withColumn("_made", F.when(some, F.transform(F.regexp_extract_all(text, F.lit(CANDIDATE), F.lit(0)), lambda v: pseudonym(v, secret))))
-    whole = F.array_join(F.flatten(F.zip_with(F.split(text, CANDIDATE, -1), F.col("_made.value"), lambda p, v: F.array(p, F.coalesce(v, F.lit(""))))), "")
-    rows = rows.withColumn("pii", F.coalesce(F.filter("_made", lambda m: m["kind"].isNotNull()), F.array().cast("array<struct<kind:string,value:string>>")))
-    return rows.withColumn(text_col, F.when(F.size("pii") > 0, whole).otherwise(text)).drop("_made")
+    rows = docs.withColumn("__tb_made", F.when(some, F.transform(F.regexp_extract_all(text, F.lit(CANDIDATE), F.lit(0)), lambda v: pseudonym(v, secret))))
+    whole = F.array_join(F.flatten(F.zip_with(F.split(text, CANDIDATE, -1), F.col("__tb_made.value"), lambda p, v: F.array(p, F.coalesce(v, F.lit(""))))), "")
+    rows = rows.withColumn("pii", F.coalesce(F.filter("__tb_made", lambda m: m["kind"].isNotNull()), F.array().cast("array<struct<kind:string,value:string>>")))
+    return rows.withColumn(text_col, F.when(F.size("pii") > 0, whole).otherwise(text)).drop("__tb_made")

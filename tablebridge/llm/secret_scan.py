@@ -243,7 +243,7 @@ def _scanned(docs: DataFrame, forest: Forest, text_col: str, path_col: str | Non
     text, path = F.col(text_col), F.col(path_col).cast("string") if path_col else F.lit("")
     pieces, judged = _judged(text, path, forest)
     some = text.rlike(CANDIDATE)
-    return docs.withColumn("_judged", F.when(some, judged)).withColumn("_pieces", F.when(F.col("_judged").isNotNull(), pieces))
+    return docs.withColumn("__tb_judged", F.when(some, judged)).withColumn("__tb_pieces", F.when(F.col("__tb_judged").isNotNull(), pieces))
 
 
 def findings(docs: DataFrame, forest: Forest | None = None, threshold: float = 0.5, id_col: str = "doc_id", text_col: str = "text", path_col: str | None = None) -> DataFrame:
@@ -252,16 +252,16 @@ def findings(docs: DataFrame, forest: Forest | None = None, threshold: float = 0
     # The filter reads the text alone, so that texts without a candidate cost one search.
     some = docs.select(*dict.fromkeys([id_col, text_col] + ([path_col] if path_col else []))).where(F.col(text_col).rlike(CANDIDATE))
     rows = _scanned(some, forest, text_col, path_col)
-    flat = rows.select(id_col, "_pieces", "_judged", F.posexplode("_judged").alias("_k", "_c"))
+    flat = rows.select(id_col, "__tb_pieces", "__tb_judged", F.posexplode("__tb_judged").alias("_k", "_c"))
     sizes = lambda a, of: F.aggregate(F.slice(a, 1, F.col("_k") + (1 if of is None else 0)), F.lit(0), lambda acc, x: acc + F.length(x if of is None else x[of]))
-    return flat.select(id_col, (sizes(F.col("_pieces"), None) + sizes(F.col("_judged"), "value")).cast("long").alias("at"), F.col("_c.value").alias("value"), F.col("_c.score").alias("score"), (F.col("_c.score") >= threshold).alias("is_secret"))
+    return flat.select(id_col, (sizes(F.col("__tb_pieces"), None) + sizes(F.col("__tb_judged"), "value")).cast("long").alias("at"), F.col("_c.value").alias("value"), F.col("_c.score").alias("score"), (F.col("_c.score") >= threshold).alias("is_secret"))
 
 
-def redact(docs: DataFrame, forest: Forest | None = None, threshold: float = 0.5, text_col: str = "text", path_col: str | None = None, mask: str = MASK) -> DataFrame:
-    """``docs`` with each secret replaced by a mask, and n_secrets; other texts and columns as they were."""
+def redact(docs: DataFrame, forest: Forest | None = None, threshold: float = 0.5, text_col: str = "text", path_col: str | None = None, mask: str = MASK, count_col: str = "n_secrets") -> DataFrame:
+    """``docs`` with each secret replaced by a mask, and their number as count_col; other texts and columns as they were."""
     forest = forest or default_forest(docs.sparkSession)
     rows = _scanned(docs, forest, text_col, path_col)
-    cleaned = F.transform(F.col("_judged"), lambda c: F.when(c["score"] >= threshold, F.lit(mask)).otherwise(c["value"]))
-    whole = F.array_join(F.flatten(F.zip_with(F.col("_pieces"), cleaned, lambda p, v: F.array(p, F.coalesce(v, F.lit(""))))), "")
-    n = F.size(F.filter("_judged", lambda c: c["score"] >= threshold))
-    return rows.withColumn("n_secrets", F.when(F.col("_judged").isNotNull(), n).otherwise(0)).withColumn(text_col, F.when(F.col("n_secrets") > 0, whole).otherwise(F.col(text_col))).drop("_judged", "_pieces")
+    cleaned = F.transform(F.col("__tb_judged"), lambda c: F.when(c["score"] >= threshold, F.lit(mask)).otherwise(c["value"]))
+    whole = F.array_join(F.flatten(F.zip_with(F.col("__tb_pieces"), cleaned, lambda p, v: F.array(p, F.coalesce(v, F.lit(""))))), "")
+    n = F.size(F.filter("__tb_judged", lambda c: c["score"] >= threshold))
+    return rows.withColumn(count_col, F.when(F.col("__tb_judged").isNotNull(), n).otherwise(0)).withColumn(text_col, F.when(F.col(count_col) > 0, whole).otherwise(F.col(text_col))).drop("__tb_judged", "__tb_pieces")
