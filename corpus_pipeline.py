@@ -32,8 +32,8 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Masks secrets; no document goes."""
-    redacted = secret_scan.redact(docs, path_col="source")
-    changed = F.when(F.col("n_secrets") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
+    redacted = secret_scan.redact(docs, path_col="source", count_col="__tb_secrets")
+    changed = F.when(F.col("__tb_secrets") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
     return redacted.withColumn("n_chars", changed).select(*docs.columns)
 
 
