@@ -21,10 +21,11 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Private key blocks; what follows an assignment; long tokens with a digit.
+#: Private key blocks; what follows an assignment, in quotes or up to its last letter or digit; long tokens with a digit.
 CANDIDATE = (
     r"-----BEGIN[A-Z ]{0,30}PRIVATE KEY-----[A-Za-z0-9+/=\s]*+(?:-----END[A-Z ]{0,30}PRIVATE KEY-----)?"
-    r"|(?<=[=:]|[=:][\"']|[=:]\s{1,3}[\"'])[^\s\"'=:]{6,}+"
+    r"|(?<=[=:][\"']|[=:]\s{1,3}[\"'])[^\s\"']{6,}+(?=[\"'])"
+    r"|(?<=[=:])[^\s\"'=:]{5,}[A-Za-z0-9_+/]"
     r"|(?<![A-Za-z0-9_+/.-])(?=[A-Za-z_+/.-]{0,200}[0-9])[A-Za-z0-9_+/.-]{12,}+={0,2}"
 )
 CONTEXT = 48
