@@ -178,8 +178,8 @@ def predict(docs: DataFrame, net: ByteNet | None, id_col: str = "doc_id", text_c
     return map_arrow(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), run, f"id {kind}, lang_pred string, score double").withColumnRenamed("id", id_col)
 
 
-def keep_identified(docs: DataFrame, net: ByteNet | None, min_score: float = 0.5, text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` whose language is known: not ``und``, and likelier than ``min_score``. All columns stay; no shuffle."""
+def keep_identified(docs: DataFrame, net: ByteNet | None, min_score: float = 0.3, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` whose language is known: not ``und``, and likelier than ``min_score``. Texts that mix languages stay. All columns stay; no shuffle."""
     names = docs.columns
     at = names.index(text_col)
 
