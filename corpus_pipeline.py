@@ -16,7 +16,7 @@ from tablebridge.llm.common import cut, ensure_checkpoint_dir
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejects documents without letters and those of which no language is likelier than the others together."""
+    """Rejects documents without letters and those in which no language stands out; texts that mix languages stay."""
     return language_id.keep_identified(docs, queries.language_model(docs.where(queries._fold("doc_id", 4) != 2)))
 
 
