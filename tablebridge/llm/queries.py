@@ -96,5 +96,45 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_decontamination": op10_decontamination,
 }
 
-#: DuckDB SQL where SQL can express the operator.
-ORACLE_SQL: dict[str, str] = {}
+#: DuckDB SQL where SQL can express the operator. Trained models and tokenizers aren't SQL; string tiling, secrets and
+#: pseudonyms are tested against brute force.
+ORACLE_SQL: dict[str, str] = {
+    "op4_neighbours": """
+WITH v AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings WHERE embedding IS NOT NULL
+), d AS (
+  SELECT a.vec_id AS query_id, b.vec_id, sqrt(list_sum(list_transform(list_zip(a.e, b.e), lambda p: (p[1] - p[2]) * (p[1] - p[2])))) AS score
+  FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0
+)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id) AS INTEGER) AS rank, vec_id, score
+FROM d QUALIFY rank <= 10
+""",
+    "op6_minhash": r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) > 1 THEN list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) ELSE w END) AS g FROM w
+), n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+both_ AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+link AS (
+  SELECT a, b FROM both_ JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 80 * (x.n + y.n - c)
+), edge AS (SELECT a, b FROM link UNION SELECT b, a FROM link),
+reach(doc_id, r) AS (SELECT doc_id, doc_id FROM documents UNION SELECT reach.doc_id, edge.b FROM reach JOIN edge ON edge.a = reach.r)
+SELECT d.doc_id, coalesce(max(n.n), 0) AS n_shingles, min(reach.r) AS component_id, d.doc_id = min(reach.r) AS kept
+FROM documents d JOIN reach ON reach.doc_id = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id GROUP BY d.doc_id
+""",
+    "op9_substrings": r"""
+WITH w AS (SELECT doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS w FROM documents),
+win AS (
+  SELECT doc_id, p, array_to_string(w[p : p + 49], ' ') AS k FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS p FROM w WHERE len(w) >= 50)
+), first AS (SELECT k, min(doc_id) AS first FROM win GROUP BY k),
+gone AS (SELECT DISTINCT doc_id, unnest(range(p, p + 50)) AS i FROM win JOIN first USING (k) WHERE first.first < doc_id),
+word AS (SELECT doc_id, unnest(range(1, len(w) + 1)) AS i, unnest(w) AS word FROM w),
+kept AS (
+  SELECT word.doc_id, count(*) FILTER (WHERE gone.i IS NOT NULL) AS n_removed, coalesce(string_agg(word.word, ' ' ORDER BY word.i) FILTER (WHERE gone.i IS NULL), '') AS t
+  FROM word LEFT JOIN gone ON gone.doc_id = word.doc_id AND gone.i = word.i GROUP BY word.doc_id
+)
+SELECT w.doc_id, CAST(len(w.w) AS BIGINT) AS n_words, coalesce(kept.n_removed, 0) AS n_removed, sha256(coalesce(kept.t, '')) AS kept_sha256
+FROM w LEFT JOIN kept ON kept.doc_id = w.doc_id
+""",
+}
