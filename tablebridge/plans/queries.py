@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from tablebridge import sqlgen as q
 from tablebridge import streaming
-from tablebridge.federation import RemoteFrame, federate, join
+from tablebridge.federation import RemoteFrame, bind_parameters, federate, join
 from tablebridge.functions import dot, money, norm
 from tablebridge.operators import merge
 from tablebridge.operators.asof import asof_join, range_join
@@ -154,6 +154,32 @@ def endpoints_union(s, d):
     return rows.agg(F.count(F.lit(1)).alias("n"), F.sum("o_orderkey").alias("total"))
 
 
+@query("SELECT * FROM (VALUES ('sales', 'customer'), ('sales', 'orders'), ('reference', 'nation'), ('reference', 'part'), ('reference', 'region'), ('reference', 'supplier')) t(db, name)")
+def catalog_listing(s, d):
+    return s.createDataFrame([(n, t) for n in ("sales", "reference") for t in database(s, d, n).tables()], "db string, name string")
+
+
+@query("SELECT n_name, count(*) AS n FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY n_name")
+def catalog_sql(s, d):
+    """All tables of two databases as views, joined in SQL."""
+    database(s, d, "sales").create_views("sales_")
+    database(s, d, "reference").create_views("reference_")
+    return s.sql("SELECT n_name, count(*) AS n FROM sales_customer JOIN reference_nation ON c_nationkey = n_nationkey GROUP BY n_name")
+
+
+@query("SELECT c_custkey, c_name FROM customer WHERE c_mktsegment = 'MACHINERY' AND c_custkey <= 300")
+def parameterised_view(s, d):
+    db = database(s, d, "sales")
+    view = "SELECT c_custkey, c_name FROM customer WHERE c_mktsegment = {segment:String} AND c_custkey <= {top:UInt32}"
+    return db.query(bind_parameters(view, {"segment": "MACHINERY", "top": 300}, db.dialect.literal))
+
+
+@query("SELECT n_nationkey, n_name FROM nation ORDER BY n_name DESC LIMIT 7")
+def remote_topk(s, d):
+    f = RemoteFrame.table(database(s, d, "reference"), "nation").project("n_nationkey", "n_name").order_by(q.Order(q.Column("n_name"), False)).limit(7)
+    return f.to_df().orderBy(F.desc("n_name")).limit(7)
+
+
 # ---- joins
 
 
@@ -430,6 +456,22 @@ def doc_enforce_schema(s, d):
     return enforce_schema(parquet(s, d, "events"), want)
 
 
+@query("SELECT event_id, event_type FROM events WHERE (event_type LIKE 'p%' OR event_type IN ('error')) AND NOT (event_id < 50) ORDER BY event_id DESC LIMIT 100")
+def doc_find(s, d):
+    c = docs.Collection(s, _event_lines(s, d), declared=T.StructType([T.StructField("event_id", T.LongType())]))
+    kind = q.Column("event_type")
+    wanted = (q.Like(kind, "p%") | q.InList(kind, (q.Literal("error"),))) & ~q.Binary("<", q.Column("event_id"), q.Literal(50))
+    return c.find(wanted, ["event_id", "event_type"], [("event_id", False)], 100)
+
+
+@query("SELECT event_id, event_type, value FROM events WHERE value IS NOT NULL")
+def doc_nested_write(s, d):
+    """Nested values as JSON in a database without nested types, and back."""
+    rows = parquet(s, d, "events").select("event_id", F.struct("event_type", "value").alias("e"))
+    back = scratch(s, d, "nested", "sqlite", rows).table("t")
+    return docs.decode_json(back, "e", rows.schema["e"].dataType).select("event_id", "e.event_type", "e.value")
+
+
 @query("SELECT event_id, CASE WHEN event_id % 2 = 0 THEN CAST(event_id AS DOUBLE) ELSE event_id + 0.5 END AS v FROM events")
 def doc_type_unify(s, d):
     mixed = parquet(s, d, "events").select(F.when(F.col("event_id") % 2 == 0, F.to_json(F.struct("event_id", F.col("event_id").alias("v")))).otherwise(F.to_json(F.struct("event_id", (F.col("event_id") + F.lit(0.5)).alias("v")))).alias("value"))

@@ -217,3 +217,48 @@ def _fits(value: object, condition: object) -> bool:
 def dml_where(filters: list[q.Expr | str], d: Dialect) -> str:
     """Filters joined with AND; none is the empty string."""
     return " AND ".join(f if isinstance(f, str) else q.write(f, d) for f in filters)
+
+
+# ---- in Spark
+
+
+def to_column(e: q.Expr):
+    """A predicate as a Spark column: what stays with Spark when a source can't take it."""
+    from functools import reduce
+    from operator import or_
+
+    from pyspark.sql import functions as F
+
+    if isinstance(e, q.Column):
+        return F.col(f"`{e.name}`")
+    if isinstance(e, q.Literal):
+        return F.lit(e.value)
+    if isinstance(e, q.Not):
+        return ~to_column(e.child)
+    if isinstance(e, q.Negative):
+        return -to_column(e.child)
+    if isinstance(e, q.Cast):
+        return to_column(e.child).cast(e.type)
+    if isinstance(e, q.IsNull):
+        return to_column(e.child).isNotNull() if e.negated else to_column(e.child).isNull()
+    if isinstance(e, q.IsTruth):
+        same = to_column(e.child).eqNullSafe(F.lit(e.value))
+        return ~same if e.negated else same
+    if isinstance(e, q.Between):
+        inside = to_column(e.child).between(to_column(e.low), to_column(e.high))
+        return ~inside if e.negated else inside
+    if isinstance(e, q.InList):
+        child = to_column(e.child)
+        found = reduce(or_, (child == to_column(v) for v in e.values)) if e.values else child != child
+        return ~found if e.negated else found
+    if isinstance(e, q.Like):
+        child, pattern = to_column(e.child), F.lit(e.pattern)
+        escape = F.lit(e.escape) if e.escape else None
+        found = (F.ilike if e.ignore_case else F.like)(child, pattern, escape) if escape is not None else (child.ilike(e.pattern) if e.ignore_case else child.like(e.pattern))
+        return ~found if e.negated else found
+    if isinstance(e, q.Binary):
+        a, b = to_column(e.left), to_column(e.right)
+        made = {"=": lambda: a == b, "<=>": lambda: a.eqNullSafe(b), "<>": lambda: a != b, "<": lambda: a < b, "<=": lambda: a <= b, ">": lambda: a > b, ">=": lambda: a >= b, "AND": lambda: a & b, "OR": lambda: a | b, "+": lambda: a + b, "-": lambda: a - b, "*": lambda: a * b, "/": lambda: a / b, "%": lambda: a % b}
+        if e.op in made:
+            return made[e.op]()
+    raise UnsupportedExpression(type(e).__name__)

@@ -233,3 +233,43 @@ def unnest(df: DataFrame, depth: int) -> DataFrame:
 def midnight_dates(values: list[dt.datetime]) -> T.DataType:
     """Stamps that are all at midnight are dates; any other makes them timestamps."""
     return T.DateType() if values and all(v.time() == dt.time(0) for v in values) else T.TimestampType()
+
+
+class Collection:
+    """A collection as one would ask a document store: a filter, columns, an order and a limit.
+
+    ``filter_document`` is what a store is sent. Here the same predicate runs in Spark over the collection's columns, so a
+    scan reads the documents once, in parallel.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, declared: T.StructType | None = None, depth: int = 0) -> None:
+        self.df = read_collection(spark, path, declared, depth)
+
+    @staticmethod
+    def filter_document(predicate) -> dict:
+        from tablebridge.predicates import to_document
+
+        return to_document(predicate)
+
+    @staticmethod
+    def projection_document(columns: list[str] | None) -> dict | None:
+        """None takes all fields; no columns at all still needs one to count rows by."""
+        if columns is None:
+            return None
+        return {c: 1 for c in columns} | ({} if "_id" in columns or not columns else {"_id": 0}) if columns else {"_id": 1}
+
+    @staticmethod
+    def sort_document(order: list[tuple[str, bool]]) -> dict:
+        """Stores can't place nulls, so Spark sorts again."""
+        return {c: 1 if ascending else -1 for c, ascending in order}
+
+    def find(self, predicate=None, columns: list[str] | None = None, order: list[tuple[str, bool]] | None = None, limit: int | None = None) -> DataFrame:
+        from tablebridge.predicates import to_column
+
+        if limit is not None and not 0 <= limit < 1 << 31:
+            raise InvalidOption("a limit is a 32-bit number")
+        out = self.df if predicate is None else self.df.where(to_column(predicate))
+        if order:
+            out = out.orderBy(*(F.col(f"`{c}`").asc_nulls_first() if ascending else F.col(f"`{c}`").desc_nulls_last() for c, ascending in order))
+        out = out if limit is None else out.limit(limit)
+        return out if columns is None else out.select(*(F.col(f"`{c}`") for c in columns))

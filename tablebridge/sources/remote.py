@@ -35,7 +35,7 @@ BATCH = 8192
 def base_select(options: dict[str, str]) -> q.Select:
     """The read that the options describe: ``table`` or ``query``, ``columns``, ``order_by`` and ``limit``."""
     if ("table" in options) == ("query" in options):
-        raise InvalidOption("give either table or query")
+        raise InvalidOption(f"give either table or query, not {sorted(options)}")
     if "query" in options:
         out = q.Select(q.Aliased(q.RawSql(options["query"]), "t"))
     elif is_function(options["table"]):
