@@ -428,14 +428,12 @@ def fn_similarity(s, d):
 
 # ---- documents
 
-_EVENT_JSON = F.to_json(F.struct("event_id", "event_type", F.struct("user_id", F.struct("value").alias("score")).alias("who")))
-
-
 def _event_lines(s, d) -> str:
     """Events as a collection of JSON lines."""
     path = os.path.join(folder(d), "events.json")
     if not os.path.exists(f"{path}/_SUCCESS"):
-        parquet(s, d, "events").select(_EVENT_JSON.alias("value")).write.mode("overwrite").text(path)
+        line = F.to_json(F.struct("event_id", "event_type", F.struct("user_id", F.struct("value").alias("score")).alias("who")))
+        parquet(s, d, "events").select(line.alias("value")).write.mode("overwrite").text(path)
     return path
 
 

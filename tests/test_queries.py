@@ -41,3 +41,11 @@ def test_entry_module():
     import __spark_entry__ as e
 
     assert set(e.oracle_sql()) <= set(e.queries())
+
+
+def test_entry_module_needs_no_session():
+    import subprocess
+    import sys
+
+    code = "import __spark_entry__ as e; print(len(e.queries()) >= len(e.oracle_sql()) > 60)"
+    assert subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True).stdout.strip() == "True"
