@@ -135,23 +135,30 @@ def split_by_bitmap(df: DataFrame, column: str, bitmap: DataFrame, bits: int = B
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """Connected components of edges (a long, b long): rows (id, component), component the smallest id reachable.
 
-    Minimum labels travel along the edges and jump to their label's label, so rounds grow with the
-    logarithm of the longest path. Hot vertices are met by joins that Spark can split and by
-    aggregates that combine before the shuffle; nothing is gathered by vertex.
+    In a round every vertex hooks onto its smallest neighbour if that is smaller, jumps to its hook's hook until it is at
+    a root, and the edges are contracted to the roots. So edges are joined in full once and then shrink, jumps grow with
+    the logarithm of the longest path, and labels, which only fall along edges, end at the smallest id. Hot vertices are
+    met by joins that Spark can split and by aggregates that combine before the shuffle; nothing is gathered by vertex.
     """
-    both = cut(edges.select("a", "b").where("a <> b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")).where("a <> b")).distinct())
-    labels = both.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("m")).select("id", F.least("id", "m").alias("component"))
-    labels = cut(labels)
+    left = cut(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a < b").distinct())
+    labels: DataFrame | None = None
     for _ in range(max_rounds):
-        near = both.join(labels, both.b == labels.id).groupBy("a").agg(F.min("component").alias("m"))
-        met = labels.join(near, labels.id == near.a, "left").select("id", F.col("component").alias("was"), F.least("component", F.coalesce("m", "component")).alias("l"))
-        met = cut(met)
-        up = met.select(F.col("id").alias("u"), F.col("l").alias("ul"))
-        new = met.join(up, met.l == up.u, "left").select("id", "was", F.least("l", F.coalesce("ul", "l")).alias("component"))
-        new = cut(new)
-        changed = new.where("component <> was").limit(1).count()
-        labels = new.select("id", "component")
-        if not changed:
+        both = left.select(F.col("a").alias("v"), F.col("b").alias("n")).union(left.select("b", "a"))
+        hooks = cut(both.groupBy("v").agg(F.min("n").alias("n")).select("v", F.least("v", "n").alias("p")))
+        while True:
+            up = hooks.select(F.col("v").alias("u"), F.col("p").alias("q"))
+            jumped = cut(hooks.join(up, hooks.p == up.u).select("v", F.col("q").alias("p"), (F.col("p") != F.col("q")).alias("moved")))
+            hooks = jumped.select("v", "p")
+            if jumped.where("moved").limit(1).count() == 0:
+                break
+        if labels is None:
+            labels = hooks.select(F.col("v").alias("id"), F.col("p").alias("component"))
+        else:
+            labels = cut(labels.join(hooks, labels.component == hooks.v, "left").select("id", F.coalesce("p", "component").alias("component")))
+        one = left.join(hooks, left.a == hooks.v).select(F.col("p").alias("x"), "b")
+        two = one.join(hooks, one.b == hooks.v).select("x", F.col("p").alias("y")).where("x <> y")
+        left = cut(two.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
+        if left.limit(1).count() == 0:
             return labels
     raise RuntimeError("components did not settle")
 
