@@ -116,14 +116,14 @@ _BLOCK = 1 << 15
 
 def id_bitmap(ids: DataFrame, column: str, bits: int = BITMAP_BITS) -> DataFrame:
     """At most bits / 2**15 rows (block int, bitmap binary of 4 KB): which hashed ids occur. It may err on the side of yes only."""
-    at = F.pmod(F.xxhash64(F.col(column)), F.lit(bits)).alias("at")
+    at = F.pmod(F.xxhash64(F.col(column).cast("long")), F.lit(bits)).alias("at")
     bucket = F.bitmap_bucket_number("at")
     return ids.select(at).groupBy(bucket.cast("int").alias("block")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("at")).alias("bitmap"))
 
 
 def split_by_bitmap(df: DataFrame, column: str, bitmap: DataFrame, bits: int = BITMAP_BITS) -> tuple[DataFrame, DataFrame]:
     """(rows whose id may occur, rows whose id surely doesn't). The broadcast side holds bits / 8 bytes at most."""
-    at = F.pmod(F.xxhash64(F.col(column)), F.lit(bits))
+    at = F.pmod(F.xxhash64(F.col(column).cast("long")), F.lit(bits))
     right = bitmap.select(F.col("block").alias("__tb_block"), F.col("bitmap").alias("__tb_bitmap"))
     joined = df.join(F.broadcast(right), F.bitmap_bucket_number(at).cast("int") == F.col("__tb_block"), "left")
     position = F.bitmap_bit_position(at).cast("int")
