@@ -141,6 +141,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.8, **optio
 
 
 def remove_leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.8, id_col: str = "doc_id", **options) -> DataFrame:
-    """The rows of ``docs`` in which no benchmark item is covered to the threshold."""
-    found = cut(leaks(docs, benchmark, threshold, id_col=id_col, **options).select(id_col).distinct())
-    return docs.join(found, id_col, "left_anti")
+    """The rows of ``docs`` in which no benchmark item is covered to the threshold. Only rows whose id may be among those
+    to go are shuffled with their texts."""
+    found = cut(leaks(docs, benchmark, threshold, id_col=id_col, **options).select(F.col(id_col).alias("__tb_leak")).distinct())
+    maybe, clean = split_by_bitmap(docs, id_col, id_bitmap(found, "__tb_leak"))
+    return clean.unionByName(maybe.join(found, F.col(id_col) == F.col("__tb_leak"), "left_anti"))
