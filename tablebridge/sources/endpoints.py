@@ -121,7 +121,7 @@ class EndpointReader(DataSourceReader):
         raise RemoteFailure(f"no location of {partition.ticket!r} answers: {'; '.join(failed)}")
 
 
-class EndpointStream(DataSourceStreamReader, EndpointReader):
+class EndpointStream(EndpointReader, DataSourceStreamReader):
     """Unbounded endpoints: offsets count endpoints, each of which is read once."""
 
     def initialOffset(self) -> dict:
