@@ -21,18 +21,26 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Private key blocks; what follows an assignment, in quotes or up to its last letter or digit; long tokens with a digit.
+#: What names a secret, in texts before its value.
+_KEY = r"(?:pass(?:word|wd|phrase)?|pwd|secret|token|(?:api|access|private|auth|signing)[_ -]?key|credentials?|auth(?:orization)?|bearer|signature)"
+#: Java looks behind for a bounded length only; the short look at an assignment goes first, as it fails fast.
+_ASSIGNED = rf"(?<=(?i:{_KEY})[\"']?[ \t]{{0,3}}(?:[=:]|:=|=>)[ \t]{{0,3}}"
+#: Private key blocks; what is assigned to a key word, quotes and spaces allowed; what follows another assignment, in
+#: quotes or up to its last letter or digit; long tokens with a digit or a known head.
 CANDIDATE = (
-    r"-----BEGIN[A-Z ]{0,30}PRIVATE KEY-----[A-Za-z0-9+/=\s]*+(?:-----END[A-Z ]{0,30}PRIVATE KEY-----)?"
+    r"-----BEGIN[A-Z ]{0,30}PRIVATE KEY(?: BLOCK)?-----(?:\s*+[A-Za-z][A-Za-z0-9-]{0,30}: [^\r\n]*+)*+[A-Za-z0-9+/=\s]*+(?:-----END[A-Z ]{0,30}PRIVATE KEY(?: BLOCK)?-----)?"
+    rf"|(?<=[=:>][ \t]{{0,3}}\"){_ASSIGNED}\")[^\"\r\n]{{6,200}}+(?=\")"
+    rf"|(?<=[=:>][ \t]{{0,3}}'){_ASSIGNED}')[^'\r\n]{{6,200}}+(?=')"
     r"|(?<=[=:][\"']|[=:]\s{1,3}[\"'])[^\s\"']{6,}+(?=[\"'])"
+    rf"|(?<=[=:>][ \t]{{0,3}}[\"']?){_ASSIGNED}[\"']?)(?!(?i:bearer|basic)\b)[^\s\"'=:]{{5,}}[A-Za-z0-9_+/]={{0,2}}"
     r"|(?<=[=:])[^\s\"'=:]{5,}[A-Za-z0-9_+/]"
-    r"|(?<![A-Za-z0-9_+/.-])(?=[A-Za-z_+/.-]{0,200}[0-9])[A-Za-z0-9_+/.-]{12,}+={0,2}"
+    r"|(?<![A-Za-z0-9_+/.-])(?=[A-Za-z_+/.-]{0,200}[0-9]|A[KS]IA[A-Z0-9]{16})[A-Za-z0-9_+/.-]{12,}+={0,2}"
 )
 CONTEXT = 48
 MASK = "[SECRET]"
 #: Words that say what an identifier or placeholder is for.
 DICTIONARY = "access account address admin alpha beta branch build cache change client code commit config count data date default demo domain dummy email error event example field file folder group host http https image index input insert item json key label latest line list local login lorem main mail master model name node number object order output page part password path phone place holder point port print private project public query release remote report request response sample schema script secret section server service session simple source staging start state status string system table target temp test text time title token type update upload user value version video view week work www your".split()
-_SPEAKS_FOR = r"(?i)(pass(word|wd|phrase)?|pwd|secret|token|(api|access|private|auth|signing)[_ -]?key|credentials?|auth(orization)?|bearer|signature)\W{0,6}$"
+_SPEAKS_FOR = rf"(?i){_KEY}\W{{0,6}}$"
 _SPEAKS_AGAINST = r"(?i)(sha[-_ ]?(1|256|512)?|commit|digest|checksum|md5|uuid|guid|etag|rev(ision)?|build|version|example|hash|id|serial|isbn|phone|order|card|invoice|see|from|https?)\W{0,6}$"
 _KNOWN = r"^(AKIA|ASIA)[A-Z0-9]{16}$|^gh[pousr]_[A-Za-z0-9]{30,}$|^sk_(live|test)_[A-Za-z0-9]{16,}|^xox[abprs]-|^AIza[A-Za-z0-9_-]{30,}|^eyJ[A-Za-z0-9_-]{8,}\.|^glpat-|^-----BEGIN"
 _PATHLIKE = r"^/{1,2}\w|^\w:/|/\w+/|\.(com|org|net|io|html?|png|jpe?g|gz|zip|py|js|txt|md|pdf|csv)\b"
@@ -92,7 +100,7 @@ def labelled_findings(n: int = 1600, seed: int = 11) -> list[dict]:
     cased = lambda s: r.choice([s, s, s.upper()])
 
     def true() -> tuple[str, str, str]:
-        kind = r.randrange(9)
+        kind = r.randrange(11)
         if kind == 0:
             return cased(pick(hexes, r.choice([16, 18, 20, 24, 32, 40, 40, 64]))), prose() + cased(key()) + r.choice(["=", ": ", ' = "', '="', "='", ": '"]), r.choice(['"', "'", "", " ", '"###'])
         if kind == 1:
@@ -109,10 +117,24 @@ def labelled_findings(n: int = 1600, seed: int = 11) -> list[dict]:
             return base64.b64encode(r.randbytes(r.choice([24, 32, 48]))).decode(), prose() + key() + r.choice(["=", ': "', ' = "']), r.choice(['"', " "])
         if kind == 7:
             return pick(string.ascii_letters, 5) + pick(string.digits, 2) + r.choice("!#$%&*") + pick(alnum, r.randint(2, 8)), prose() + r.choice(["password", "passwd", "pwd"]) + r.choice(["=", ': "', ' = "']), r.choice(['"', " "])
+        if kind == 8:
+            # A short password of leet letters with a symbol, bare or in quotes.
+            mixed = [*pick(string.ascii_letters, r.randint(2, 5)), *pick(string.digits, r.randint(2, 4)), r.choice("!#$%&*@^")]
+            r.shuffle(mixed)
+            opened = r.choice(["=", ": ", " = ", ': "', ' = "'])
+            return "".join(mixed) + pick(alnum, r.randint(1, 4)), prose() + key() + opened, '"' if opened.endswith('"') else r.choice([" ", "\n", ""])
+        if kind == 9:
+            # A passphrase: words that no identifier or message is made of, often with a number among them.
+            said = [r.choice([str.lower, str.lower, str.title])(pick(string.ascii_lowercase, r.randint(3, 8))) for _ in range(r.randint(3, 5))] + r.choice([[], [str(r.randrange(100))]])
+            r.shuffle(said)
+            mark = r.choice("\"'")
+            return " ".join(said), prose() + r.choice(["password", "passphrase", "passwd", "secret"]) + r.choice(["=", ": ", " = "]) + mark, mark
+        if r.random() < 0.3:
+            return "-----BEGIN PGP PRIVATE KEY BLOCK-----\nVersion: GnuPG v2\n\n" + "\n".join(pick(b64, 64) for _ in range(r.randint(1, 12))) + "\n=" + pick(b64, 4) + "\n-----END PGP PRIVATE KEY BLOCK-----", prose(), "\n"
         return "-----BEGIN RSA PRIVATE KEY-----\n" + "\n".join(pick(b64, 64) for _ in range(6)) + "\n-----END RSA PRIVATE KEY-----", prose(), "\n"
 
     def false() -> tuple[str, str, str]:
-        kind = r.randrange(14)
+        kind = r.randrange(16)
         if kind == 0:
             return pick(hexes, 40), prose() + r.choice(["commit ", "rev ", "sha1: ", "from commit ", "revision="]), " "
         if kind == 1:
@@ -139,6 +161,14 @@ def labelled_findings(n: int = 1600, seed: int = 11) -> list[dict]:
             return pick(string.ascii_lowercase, r.randint(6, 14)), prose() + r.choice(["note:", "so:", "x=", "a=", 'class="', 'said: "', "time:"]), r.choice(["", " ", '"', ","])
         if kind == 12:
             return f"{r.randrange(256)}.{r.randrange(256)}.{r.randrange(256)}.{r.randrange(100, 256)}", prose() + r.choice(["", "host=", "from "]), " "
+        if kind == 13:
+            # What is said or coded after a key word: a word, a name, a call.
+            word = r.choice([str.lower, str.lower, str.title])(pick(string.ascii_lowercase, r.randint(6, 12)))
+            return r.choice([word, word, words(r.randint(2, 3), r.choice("_-."))]), prose() + key() + r.choice([": ", ": ", " = ", "=", ' = "']), r.choice([" ", " ", ".", ",", "()", '"'])
+        if kind == 14:
+            said = [r.choice([*DICTIONARY, "enter", "please", "the", "is", "must", "not", "for", "with", "new", "wrong"]) for _ in range(r.randint(3, 6))]
+            mark = r.choice("\"'")
+            return r.choice([str, str.capitalize])(" ".join(said)), prose() + key() + r.choice(["=", ": ", " = "]) + mark, mark
         return pick(string.ascii_lowercase, r.randint(10, 16)) + str(r.randrange(99)) + r.choice(["", ".", "..."]), prose(), " "
 
     out = []
