@@ -11,8 +11,13 @@ from pyspark.sql import functions as F
 def events_stream(spark: SparkSession, path: str, ts: str = "ts", watermark: str = "10 minutes", max_files: int = 64) -> DataFrame:
     """A stream of a Parquet folder or file, with its time column as an instant and a watermark on it."""
     schema = spark.read.parquet(path).schema
-    folder, _, name = path.rpartition("/")
-    rows = spark.readStream.schema(schema).option("maxFilesPerTrigger", str(max_files)).option("pathGlobFilter", name).parquet(folder)
+    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", str(max_files))
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if at.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).getFileStatus(at).isDirectory():
+        rows = reader.parquet(path)
+    else:
+        # Streams read folders only; the glob is matched with names of files, not of folders.
+        rows = reader.option("pathGlobFilter", at.getName()).parquet(at.getParent().toString())
     return rows.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, watermark)
 
 

@@ -45,3 +45,14 @@ def test_unbounded_endpoints(spark, tmp_path):
     ends = json.dumps([{"ticket": f"{i}.parquet", "locations": [str(tmp_path)]} for i in range(2)])
     stream = spark.readStream.format("tablebridge_endpoints").options(endpoints=ends, unbounded="true").load()
     assert sorted(r.x for r in streaming.run_to_end(stream, "append").collect()) == [0, 1]
+
+
+def test_events_stream_reads_folders_and_files(spark, tmp_path):
+    rows = spark.range(100).selectExpr("id", "timestamp_ntz'2024-01-01 00:00:00' AS ts")
+    rows.repartition(3).write.parquet(str(tmp_path / "many" / "events.parquet"))
+    rows.coalesce(1).write.parquet(str(tmp_path / "one"))
+    (part,) = (tmp_path / "one").glob("part-*.parquet")
+    part.rename(tmp_path / "events.parquet")
+    for path in (tmp_path / "many" / "events.parquet", tmp_path / "events.parquet"):
+        got = streaming.run_to_end(streaming.events_stream(spark, str(path)), "append")
+        assert sorted(r.id for r in got.collect()) == list(range(100))
