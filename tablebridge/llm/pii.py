@@ -28,8 +28,16 @@ PATTERNS = {
     "phone": r"\+[0-9]{1,3}[ -]?(?:\([0-9]{2,4}\)|[0-9]{2,4})(?:[ -]?[0-9]{2,4}){2,3}|\([0-9]{3}\) ?[0-9]{3}-[0-9]{4}|[0-9]{3}-[0-9]{3}-[0-9]{4}",
     "card": r"[0-9](?:[ -]?[0-9]){12,18}",
 }
+#: Lengths of IBANs by country; they end there, whatever word or number follows.
+_IBAN_LENGTHS = {15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU"}
+_KNOWN_IBAN = "|".join(f"(?:{c.replace(' ', '|')})[0-9]{{2}}(?: ?[A-Z0-9]{{4}}){{{n // 4 - 1}}}" + (f" ?[A-Z0-9]{{{n % 4}}}" if n % 4 else "") for n, c in _IBAN_LENGTHS.items())
+_END = r"(?![A-Za-z0-9@]|[.-][0-9])"
+#: Digits in groups, however many: the numbers in it are found by :func:`_numbers`.
+_RUN = r"[0-9](?=(?:[ -]?[0-9]){12})[0-9 -]*[0-9](?!/[0-9])"
+#: Cards as they are usually written: in one group, by fours, or 4-6-5 and 4-6-4.
+_USUAL = r"^(?:[0-9]{13,19}|[0-9]{4}([ -])[0-9]{4}\1[0-9]{4}\1[0-9]{1,4}(?:\1[0-9]{1,3})?|[0-9]{4}([ -])[0-9]{6}\2[0-9]{4,5})$"
 #: A place begins after and ends before anything that would make it part of a longer word or number.
-CANDIDATE = r"(?<![A-Za-z0-9+._%@-])(?:" + "|".join(PATTERNS.values()) + r")(?![A-Za-z0-9@]|[.-][0-9])"
+CANDIDATE = r"(?<![A-Za-z0-9+._%@-])(?:" + "|".join((PATTERNS | {"email": f"{PATTERNS['email']}|{_KNOWN_IBAN}", "card": _RUN}).values()) + f"){_END}"
 _FIRST_DAY, _DAYS = "1900-01-01", (150, 487)  # 73,050 days: 1900-01-01 to 2100-01-01
 
 
@@ -212,11 +220,52 @@ def _or_else(kind: str, rest: Column):
     return lambda m: F.when(m.isNotNull(), F.struct(F.lit(kind).alias("kind"), m.alias("value"))).otherwise(rest)
 
 
+def _valid_card(v: Column) -> Column:
+    return v.rlike(f"^{PATTERNS['card']}$") & (luhn_sum(_only_digits(v)) % 10 == 0)
+
+
+def _numbers(run: Column, kinds: tuple[str, ...], card) -> Column:
+    """array<struct<s, try>>: a run of groups as numbers to try, each of whole groups, and what lies between them; the first and longest count."""
+    found = "^(?:" + "|".join(PATTERNS[k] for k in kinds) + ")$"
+    piece = lambda t, i, j: F.array_join(F.slice(t, i, j - i + 1), "")
+    token = lambda s, tried: F.struct(s.alias("s"), F.lit(tried).alias("try"))
+
+    def split(t: Column) -> Column:
+        n = F.size(t)
+
+        def step(state: Column, i: Column) -> Column:
+            # A card has 19 groups at most.
+            ends = F.filter(F.sequence(F.least(i + 36, n), i, F.lit(-1)), lambda j: F.get(t, j - 1).rlike("^[A-Z0-9]"))
+            good = F.filter(F.transform(ends, lambda j: F.struct(j.alias("j"), piece(t, i, j).alias("s"))), lambda e: e["s"].rlike(found) | card(e["s"]))
+            taken = lambda e: F.struct(F.concat(state["out"], F.array(token(piece(t, state["at"], i - 1), False), token(e["s"], True))).alias("out"), (e["j"] + 1).alias("at"))
+            there = (i >= state["at"]) & F.get(t, i - 1).rlike("^[A-Z0-9]")
+            return F.when(there, _let(F.get(good, F.lit(0)), lambda e: F.when(e.isNotNull(), taken(e)).otherwise(state))).otherwise(state)
+
+        start = F.struct(F.array().cast("array<struct<s:string,try:boolean>>").alias("out"), F.lit(1).alias("at"))
+        return F.aggregate(F.sequence(F.lit(1), n), start, step, lambda z: F.concat(z["out"], F.array(token(piece(t, z["at"], n), False))))
+
+    return F.when(run.rlike("[A-Z0-9]"), _let(F.regexp_extract_all(run, F.lit("[A-Z0-9]+|[ -]+"), F.lit(0)), split)).otherwise(F.array(token(run, False)))
+
+
+def _tokens(v: Column) -> Column:
+    """array<struct<s, try>> of one candidate: itself, or the numbers in a run that isn't one."""
+    own = ("date", "ssn", "phone")
+    usual = _numbers(v, own, lambda x: x.rlike(_USUAL) & _valid_card(x))
+    cards = F.flatten(F.transform(usual, lambda t: F.when(t["try"], F.array(t)).otherwise(_numbers(t["s"], own, _valid_card))))
+    is_iban = lambda x: x.rlike(f"^(?:{PATTERNS['iban']})$") & _let(F.replace(x, F.lit(" "), F.lit("")), lambda c: F.length(c).between(15, 34) & (mod97(F.concat(F.substring(c, F.lit(5), F.length(c)), F.substring(c, 1, 4))) == 1))
+    ibans = _numbers(v, own, lambda x: is_iban(x) | _valid_card(x))
+    single = v.rlike("^(?:" + "|".join(PATTERNS[k] for k in own) + ")$") | _valid_card(v)
+    return F.when(v.rlike("^[0-9][0-9 -]*$") & ~single, cards).when(v.rlike(f"^(?:{PATTERNS['iban']})$") & ~is_iban(v), ibans).otherwise(F.array(F.struct(v.alias("s"), F.lit(True).alias("try"))))
+
+
 def pseudonymize(docs: DataFrame, key: str, text_col: str = "text") -> DataFrame:
     """``docs`` with pseudonyms in text_col, and pii array<struct<kind, value>>: what was put in, in order; no shuffle."""
     text, secret = F.col(text_col), F.lit(key)
     some = text.rlike(CANDIDATE)
-    rows = docs.withColumn("__tb_made", F.when(some, F.transform(F.regexp_extract_all(text, F.lit(CANDIDATE), F.lit(0)), lambda v: pseudonym(v, secret))))
-    whole = F.array_join(F.flatten(F.zip_with(F.split(text, CANDIDATE, -1), F.col("__tb_made.value"), lambda p, v: F.array(p, F.coalesce(v, F.lit(""))))), "")
+    plain = lambda p: F.array(F.struct(p.alias("s"), F.lit(False).alias("try")))
+    tokens = F.flatten(F.zip_with(F.split(text, CANDIDATE, -1), F.regexp_extract_all(text, F.lit(CANDIDATE), F.lit(0)), lambda p, v: F.when(v.isNull(), plain(p)).otherwise(F.concat(plain(p), _tokens(v)))))
+    untouched = lambda t: F.struct(F.lit(None).cast("string").alias("kind"), t["s"].alias("value"))
+    rows = docs.withColumn("__tb_made", F.when(some, F.transform(tokens, lambda t: F.when(t["try"], pseudonym(t["s"], secret)).otherwise(untouched(t)))))
+    whole = F.array_join("__tb_made.value", "")
     rows = rows.withColumn("pii", F.coalesce(F.filter("__tb_made", lambda m: m["kind"].isNotNull()), F.array().cast("array<struct<kind:string,value:string>>")))
     return rows.withColumn(text_col, F.when(F.size("pii") > 0, whole).otherwise(text)).drop("__tb_made")

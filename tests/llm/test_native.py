@@ -162,3 +162,31 @@ def test_formats_and_links(spark):
     assert out.columns == ["doc_id", "text", "pii"]
     assert got[0].text != pii.pseudonymize(df, "other").where("doc_id = 0").first().text
     assert not re.search("Python|Arrow|Pandas", out._jdf.queryExecution().optimizedPlan().toString())
+
+
+def test_numbers_beside_others(spark):
+    card, spaced, es = "4111111111111111", "4111 1111 1111 1111", "ES9121000418450200051332"
+    texts = [
+        (f"card {card} 12 units", [card]),
+        (f"item 3 {card} paid", [card]),
+        (f"1234 5678 {spaced} 99 of 12", [spaced]),
+        (f"{card}-12 and 7 {spaced} 8 5555 5555 5555 4444", [card, spaced, "5555 5555 5555 4444"]),
+        ("room 1234 123-45-6789 end", ["123-45-6789"]),
+        ("order 12345 2024-01-15 end", ["2024-01-15"]),
+        (f"{card} 31/12/1999", [card, "31/12/1999"]),
+        (f"{es} SON", [es]),
+        (f"{es} {spaced}", [es, spaced]),
+        ("BE68 5390 0754 7034 EUR", ["BE68 5390 0754 7034"]),
+        ("1 2 3 4 5 6 7 8 9 0 1 2 3 4 " * 3 + "x", None),  # no number is sure here, but it must end
+    ]
+    alone = list(dict.fromkeys(v for _, values in texts for v in values or []))
+    df = spark.createDataFrame(list(enumerate([t for t, _ in texts] + alone)), "doc_id long, text string")
+    got = pii.pseudonymize(df, "k").orderBy("doc_id").collect()
+    new = {v: r.text for v, r in zip(alone, got[len(texts) :], strict=True)}
+    assert all(v != new[v] for v in alone)
+    for (text, values), r in zip(texts, got[: len(texts)], strict=True):
+        if values is not None:
+            assert [p.value for p in r.pii] == [new[v] for v in values]
+            for v in values:
+                text = text.replace(v, new[v])
+            assert r.text == text
