@@ -132,37 +132,54 @@ def split_by_bitmap(df: DataFrame, column: str, bitmap: DataFrame, bits: int = B
     return joined.where(hit).drop("__tb_block", "__tb_bitmap"), joined.where(~hit).drop("__tb_block", "__tb_bitmap")
 
 
+def rekeyed(column: str) -> F.Column:
+    """The column as another key, one to one. An aggregate by ``column`` that is joined on this key is dealt out anew, so
+    that both sides of the join are plain exchanges: Spark splits the hot keys of such joins, without a file between."""
+    return F.col(column).bitwiseXOR(F.lit(_ODD >> 1))
+
+
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """Connected components of edges (a long, b long): rows (id, component), component the smallest id reachable.
 
-    In a round every vertex hooks onto its smallest neighbour if that is smaller, jumps to its hook's hook until it is at
-    a root, and the edges are contracted to the roots. So edges are joined in full once and then shrink, jumps grow with
-    the logarithm of the longest path, and labels, which only fall along edges, end at the smallest id. Hot vertices are
-    met by joins that Spark can split and by aggregates that combine before the shuffle; nothing is gathered by vertex.
+    In a round every vertex hooks onto the least of its neighbours and itself and jumps to its hook's hook, and the edges
+    are contracted along. A vertex only moves to one that it is connected with, so edges lose no connection however far
+    the jumps got; the rounds end when none is left. The first round orders vertices by id, which settles the stars that
+    buckets make; later ones by a hash, so that chains in the order of their ids become short. Edges are joined in full
+    once and then shrink. Hot vertices are met by joins that Spark can split and by aggregates that combine before the
+    shuffle; nothing is gathered by vertex.
+
+    The result is a plan over the rounds' files, not yet run.
     """
     left = cut(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a < b").distinct())
     labels: DataFrame | None = None
-    for _ in range(max_rounds):
+    for turn in range(max_rounds):
         both = left.select(F.col("a").alias("v"), F.col("b").alias("n")).union(left.select("b", "a"))
-        hooks = cut(both.groupBy("v").agg(F.min("n").alias("n")).select("v", F.least("v", "n").alias("p")))
-        while True:
-            up = hooks.select(F.col("v").alias("u"), F.col("p").alias("q"))
-            jumped = cut(hooks.join(up, hooks.p == up.u).select("v", F.col("q").alias("p"), (F.col("p") != F.col("q")).alias("moved")))
-            hooks = jumped.select("v", "p")
-            if jumped.where("moved").limit(1).count() == 0:
-                break
+        if turn == 0:
+            hooks = both.groupBy("v").agg(F.min("n").alias("p")).select("v", F.least("v", "p").alias("p"))
+        else:
+            ranked = lambda c: F.struct(F.xxhash64(c).alias("rank"), F.col(c).alias("p"))
+            hooks = both.groupBy("v").agg(F.min(ranked("n")).alias("m")).select("v", F.least("m", ranked("v"))["p"].alias("p"))
+        up = hooks.select(rekeyed("v").alias("u"), F.col("p").alias("q"))
+        moved = cut(hooks.join(up, rekeyed("p") == F.col("u")).select("v", F.col("q").alias("p")))
         if labels is None:
-            labels = hooks.select(F.col("v").alias("id"), F.col("p").alias("component"))
+            labels = moved.select(F.col("v").alias("id"), F.col("p").alias("component"))
         else:
-            labels = cut(labels.join(hooks, labels.component == hooks.v, "left").select("id", F.coalesce("p", "component").alias("component")))
-        one = left.join(hooks, left.a == hooks.v).select(F.col("p").alias("x"), "b")
-        two = one.join(hooks, one.b == hooks.v).select("x", F.col("p").alias("y")).where("x <> y")
+            labels = labels.join(moved, F.col("component") == F.col("v"), "left").select("id", F.coalesce("p", "component").alias("component"))
+        one = left.join(moved, left.a == moved.v).select(F.col("p").alias("x"), "b")
+        two = one.join(moved, one.b == moved.v).select("x", F.col("p").alias("y")).where("x <> y")
         left = cut(two.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
         if left.limit(1).count() == 0:
-            return labels
+            # In the order of ids the smallest one never moves; else it gives the component its name.
+            return labels if turn == 0 else _named(labels)
     raise RuntimeError("components did not settle")
 
 
+def _named(labels: DataFrame) -> DataFrame:
+    labels = cut(labels)
+    least = labels.groupBy("component").agg(F.min("id").alias("least")).select(rekeyed("component").alias("key"), "least")
+    return labels.join(least, rekeyed("component") == F.col("key")).select("id", F.col("least").alias("component"))
+
+
 def groups(batches: Iterable[pa.RecordBatch], keys: int) -> Iterator[tuple[tuple, pa.Table]]:
     """Runs of rows equal in the first ``keys`` columns, of rows that come sorted by them; holds one run at a time."""
     held: list[pa.RecordBatch] = []

@@ -1,22 +1,27 @@
 """Near-duplicate documents by b-bit MinHash.
 
 1. One pass makes each document's shingle set, its minima under ``bands * rows`` hash functions, a key
-   for each band of minima, and the minima's low bits packed into a signature.
+   for each band of minima, and the low bits of the mixed minima packed into a signature.
 2. Documents with equal sets form a class; the smallest id stands for it from here on.
 3. Representatives that share a band key are candidates. A bucket only links its members to its
    smallest id, so a group of n copies makes n rows; what hangs together is a cluster.
-4. Clusters are dealt out in blocks of bounded size. In a block, pairs not yet connected are estimated
-   from signatures (agreeing low bits, corrected for chance agreement) and what may reach the threshold
-   is confirmed on the full sets. A block emits a spanning forest of its links, never all of them.
-5. Of a cluster with several blocks, a few members of each block's largest component are compared with
-   the first block; then every document outside the cluster's largest component visits all other
-   blocks. So no link between components is missed, and members of the largest one aren't compared again.
-
-The chance that a pair at the threshold shares no band is below (1 - 0.8 ** 5) ** 40, about 1e-7.
+4. Clusters are dealt out in blocks that are bounded in documents and in shingles. In a block, pairs not
+   yet connected are estimated from signatures (agreeing low bits, corrected for chance agreement) and
+   what may reach the threshold is confirmed on the full sets; small sets are confirmed without an
+   estimate. A block emits a spanning forest of its links, never all of them.
+5. Of a cluster with several blocks, a few members of each block's largest component visit the first
+   block, which ties those components together. Every other document, and every member of a component
+   that wasn't tied, then visits the blocks that hold a document with one of its band keys. So no
+   candidate between components is missed, and members of the main one aren't compared again.
+
+The chance that a pair at the threshold shares no band is below (1 - 0.8 ** 5) ** 40, about 1e-7. That
+the estimate drops such a pair has a chance of about 1e-8: agreement of 200 lanes is binomial with 0.85.
 
 Null and empty texts, and texts without words, have empty sets and link with nothing. A text with
-fewer words than a shingle has one shingle, its whole sequence. Rows that share an id are one document.
-Rows with a null id take no part: their component is null and they are kept.
+fewer words than a shingle has one shingle, its whole sequence. A very long text is read whole; its set
+alone may fill a block. Pairs exactly at the threshold are linked. Rows that share an id are one
+document. Rows with a null id take no part: their component is null and they are kept. Extra columns
+are not looked at, and pass through :func:`drop_near_duplicates` whatever their names.
 """
 
 from __future__ import annotations
@@ -29,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablebridge.llm.common import components, cut, groups, id_bitmap, map_arrow, mix, pieces, sequence_key, split_by_bitmap, windows, word_bytes, word_hashes
+from tablebridge.llm.common import components, cut, groups, id_bitmap, map_arrow, mix, pieces, rekeyed, sequence_key, split_by_bitmap, windows, word_bytes, word_hashes
 
 
 @dataclass(frozen=True)
@@ -41,13 +46,21 @@ class Settings:
     bits: int = 2
     #: Estimates this far below the threshold are dropped: over six standard deviations of the estimate.
     slack: float = 0.21
+    #: Sets of at most so many shingles are confirmed without an estimate: their lanes hang together the most.
+    small: int = 16
+    #: Documents in a block, and shingles if its texts are long.
     block: int = 1000
+    block_shingles: int = 4_000_000
     envoys: int = 8
 
     def multipliers(self) -> np.ndarray:
         rng = np.random.default_rng(20240601)
         return rng.integers(1, 1 << 32, self.bands * self.rows, dtype=np.uint64).astype(np.uint32) | np.uint32(1)
 
+    def offsets(self) -> np.ndarray:
+        """What the minima are mixed with before their low bits are kept: another constant in each lane."""
+        return np.random.default_rng(20240602).integers(0, 1 << 32, self.bands * self.rows, dtype=np.uint64).astype(np.uint32)
+
 
 def shingles(text: str | None, n: int) -> np.ndarray:
     """The sorted distinct shingle hashes of a text in A-Z lower case."""
@@ -65,8 +78,17 @@ def minima(s: np.ndarray, a: np.ndarray) -> np.ndarray:
     return out
 
 
-def pack(m: np.ndarray, bits: int) -> bytes:
-    lanes = (m[:, None] >> np.arange(bits, dtype=np.uint32)) & np.uint32(1)
+def low_bits(m: np.ndarray, bits: int, offsets: np.ndarray) -> np.ndarray:
+    """The low bits of the mixed minima. A product's own low bits depend on the low bits of its factors alone, so that
+    chance agreement would be alike in all lanes."""
+    x = m + offsets
+    x = (x ^ (x >> np.uint32(16))) * np.uint32(0x85EBCA6B)
+    x = (x ^ (x >> np.uint32(13))) * np.uint32(0xC2B2AE35)
+    return (x ^ (x >> np.uint32(16))) & np.uint32((1 << bits) - 1)
+
+
+def pack(m: np.ndarray, bits: int, offsets: np.ndarray) -> bytes:
+    lanes = (low_bits(m, bits, offsets)[:, None] >> np.arange(bits, dtype=np.uint32)) & np.uint32(1)
     return np.packbits(lanes.astype(np.uint8).ravel()).tobytes()
 
 
@@ -100,7 +122,7 @@ def unpack(signatures: list[bytes], s: Settings) -> np.ndarray:
 
 def signatures(docs: DataFrame, s: Settings, id_col: str, text_col: str) -> DataFrame:
     """id, n, key1, key2 (of the set), signature, bands."""
-    a = s.multipliers()
+    a, offsets = s.multipliers(), s.offsets()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in pieces(batches):
@@ -111,7 +133,7 @@ def signatures(docs: DataFrame, s: Settings, id_col: str, text_col: str) -> Data
                 k1.append(sequence_key(x, 1))
                 k2.append(sequence_key(x, 2))
                 m = minima(x, a)
-                sig.append(pack(m, s.bits) if len(x) else b"")
+                sig.append(pack(m, s.bits, offsets) if len(x) else b"")
                 bands.append(band_keys(m, s) if len(x) else np.zeros(0, dtype=np.int64))
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(k1, pa.int64()), pa.array(k2, pa.int64()), pa.array(sig, pa.binary()), pa.array(bands, pa.list_(pa.int64()))], names=["id", "n", "key1", "key2", "signature", "bands"])
 
@@ -160,11 +182,17 @@ def _confirmed(mine: np.ndarray, others: list[np.ndarray], percent: int) -> np.n
 def _links(s: Settings, ids: list[int], sigs: np.ndarray, sets: list[np.ndarray], forest: _Forest, lefts: range, right_from: int) -> list[tuple[int, int]]:
     """Compare each of ``lefts`` with the rows from max(itself + 1, right_from) on; joins the forest, gives its new links."""
     out = []
+    sizes = np.array([len(x) for x in sets], dtype=np.int64)
     for i in lefts:
         begin = max(i + 1, right_from)
         if begin >= len(ids):
             break
-        likely = begin + np.flatnonzero(similarity(sigs[i], sigs[begin:], s) >= s.percent / 100 - s.slack)
+        maybe = similarity(sigs[i], sigs[begin:], s) >= s.percent / 100 - s.slack
+        if sizes[i] <= s.small:
+            maybe |= sizes[begin:] <= s.small
+        # Sets whose sizes are too far apart can't reach the threshold.
+        low, high = np.minimum(sizes[i], sizes[begin:]), np.maximum(sizes[i], sizes[begin:])
+        likely = begin + np.flatnonzero(maybe & (100 * low >= s.percent * high))
         likely = [int(j) for j in likely if forest.find(int(j)) != forest.find(i)]
         for at in range(0, len(likely), 64):
             part = [j for j in likely[at : at + 64] if forest.find(j) != forest.find(i)]
@@ -185,22 +213,29 @@ def _edges(pairs: list[tuple[int, int]], kind: list[int], where: tuple) -> pa.Re
 
 
 _EDGES = "cluster long, block int, a long, b long, kind int"
+#: Kinds of rows that blocks emit: a link; a member that speaks for the block's largest component; a row outside of it.
+_LINK, _ENVOY, _OUTSIDE = 0, 1, 2
 
 
 def _inside(rows: DataFrame, s: Settings) -> DataFrame:
-    """Links in each (cluster, block) as kind 0; members that speak for the block's largest component as kind 1."""
+    """Links in each (cluster, block), and of clusters with several blocks who speaks for a block and who is outside."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for where, t in groups(batches, 2):
+        for where, t in groups(batches, 3):
             ids, sigs, sets = _rows(t, s)
             forest = _Forest(len(ids))
             links = _links(s, ids, sigs, sets, forest, range(len(ids)), 0)
-            roots = [forest.find(i) for i in range(len(ids))]
-            top = max(set(roots), key=lambda r: (roots.count(r), -r)) if len(ids) < 50 else int(np.bincount(roots).argmax())
-            speak = [(ids[i], ids[i]) for i, r in enumerate(roots) if r == top][: s.envoys]
-            yield _edges(links + speak, [0] * len(links) + [1] * len(speak), where)
+            found = [_LINK] * len(links)
+            if where[2] > 1:
+                roots = np.array([forest.find(i) for i in range(len(ids))])
+                top = roots == np.bincount(roots).argmax()
+                speak = [(ids[i], ids[i]) for i in np.flatnonzero(top)[: s.envoys]]
+                alone = [(ids[i], ids[i]) for i in np.flatnonzero(~top)]
+                links += speak + alone
+                found += [_ENVOY] * len(speak) + [_OUTSIDE] * len(alone)
+            yield _edges(links, found, where)
 
-    return map_arrow(rows.repartition("cluster", "block").sortWithinPartitions("cluster", "block", "id").select("cluster", "block", "id", "signature", "shingles"), run, _EDGES)
+    return map_arrow(rows.repartition("cluster", "block").sortWithinPartitions("cluster", "block", "id").select("cluster", "block", "blocks", "id", "signature", "shingles"), run, _EDGES)
 
 
 def _visits(rows: DataFrame, guests: DataFrame, s: Settings) -> DataFrame:
@@ -217,7 +252,7 @@ def _visits(rows: DataFrame, guests: DataFrame, s: Settings) -> DataFrame:
             ids, sigs, sets = _rows(t, s)
             n = t["host"].to_pylist().count(0)
             links = _links(s, ids, sigs, sets, _Forest(len(ids)), range(n), n)
-            yield _edges(links, [0] * len(links), where)
+            yield _edges(links, [_LINK] * len(links), where)
 
     return map_arrow(both.repartition("cluster", "block", "chunk").sortWithinPartitions("cluster", "block", "chunk", "host", "id"), run, _EDGES)
 
@@ -227,11 +262,11 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings(), id_col: st
     s = settings
     base = cut(signatures(docs, s, id_col, text_col))
     full = base.where("n > 0 and id is not null")
-    # Written out, so that the join's two sides are plain exchanges: Spark splits the hot keys of such a join.
-    classes = cut(full.groupBy("key1", "key2").agg(F.min("id").alias("rep")))
-    member = full.select("id", "key1", "key2").join(classes, ["key1", "key2"]).where("id <> rep").select(F.col("id").alias("a"), F.col("rep").alias("b"))
-    reps = full.join(classes.select(F.col("rep").alias("id")).distinct(), "id", "left_semi")
-    links = _representative_links(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")), cut(reps.select("id", "signature", "bands")), s)
+    classes = full.groupBy("key1", "key2").agg(F.min("id").alias("rep")).select(rekeyed("key1").alias("k1"), rekeyed("key2").alias("k2"), "rep")
+    placed = full.join(classes, (rekeyed("key1") == F.col("k1")) & (rekeyed("key2") == F.col("k2")))
+    member = placed.where("id <> rep").select(F.col("id").alias("a"), F.col("rep").alias("b"))
+    reps = cut(placed.where("id = rep").select("id", "n", "signature", "bands"))
+    links = _representative_links(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")), reps, s)
     found = components(links.unionByName(member))
     out = base.select("id", "n").join(found, "id", "left").select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("component", "id").alias("component_id"))
     return out.withColumn("kept", F.coalesce(F.col("component_id") == F.col(id_col), F.lit(True)))
@@ -239,11 +274,12 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings(), id_col: st
 
 def _representative_links(texts: DataFrame, reps: DataFrame, s: Settings) -> DataFrame:
     banded = reps.select("id", F.explode("bands").alias("band"))
-    buckets = cut(banded.groupBy("band").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first <> last").select("band", "first"))
-    star = cut(banded.join(buckets, "band").where("id <> first").select(F.col("id").alias("a"), F.col("first").alias("b")).distinct())
-    clusters = components(star).withColumnRenamed("component", "cluster")
-    sizes = clusters.groupBy("cluster").count().select("cluster", F.ceil(F.col("count") / s.block).cast("int").alias("blocks"))
-    placed = cut(clusters.join(sizes, "cluster").select("id", "cluster", "blocks", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int").alias("block")))
+    buckets = banded.groupBy("band").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first <> last").select(rekeyed("band").alias("key"), "first")
+    star = banded.join(buckets, rekeyed("band") == F.col("key")).where("id <> first").select(F.col("id").alias("a"), F.col("first").alias("b"))
+    clusters = cut(components(star).withColumnRenamed("component", "cluster").join(reps.select("id", "n").distinct(), "id"))
+    needed = F.ceil(F.greatest(F.count(F.lit(1)) / s.block, F.sum("n") / s.block_shingles)).cast("int")
+    sizes = clusters.groupBy("cluster").agg(needed.alias("blocks")).select(rekeyed("cluster").alias("key"), "blocks")
+    placed = cut(clusters.join(sizes, rekeyed("cluster") == F.col("key")).select("id", "cluster", "blocks", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int").alias("block")))
 
     def with_sets(rows: DataFrame) -> DataFrame:
         maybe, _ = split_by_bitmap(texts, "id", id_bitmap(rows, "id"))
@@ -251,22 +287,30 @@ def _representative_links(texts: DataFrame, reps: DataFrame, s: Settings) -> Dat
         return rows.join(reps.select("id", "signature"), "id").join(sets, "id")
 
     first = cut(_inside(with_sets(placed), s))
-    links = first.where("kind = 0").select("a", "b")
+    links = first.where(f"kind = {_LINK}").select("a", "b")
     large = placed.where("blocks > 1")
     if large.limit(1).count() == 0:
         return links
     rows = cut(with_sets(large).select("cluster", "blocks", "block", "id", "signature", "shingles"))
     chunk = F.pmod(F.xxhash64("id", F.lit(1)), F.greatest(F.lit(1), (F.col("blocks") * s.envoys / s.block).cast("int"))).cast("int")
-    envoys = rows.where("block > 0").join(first.where("kind = 1").select(F.col("a").alias("id")).distinct(), "id", "left_semi")
+    speak = first.where(f"kind = {_ENVOY} and block > 0").select(F.col("a").alias("id")).distinct()
+    envoys = rows.where("block > 0").join(speak, "id", "left_semi")
     second = cut(_visits(rows, envoys.select("cluster", F.lit(0).alias("block"), chunk.alias("chunk"), "id", "signature", "shingles"), s))
     links = links.unionByName(second.select("a", "b"))
-    known = components(links)
-    labelled = large.join(known, "id", "left").select("cluster", "id", "blocks", "block", F.coalesce("component", "id").alias("component"))
-    main = labelled.groupBy("cluster", "component").count().groupBy("cluster").agg(F.max_by("component", F.struct("count", "component")).alias("main"))
-    outside = cut(labelled.join(main, "cluster").where("component <> main").select("id"))
-    travel = rows.join(outside, "id", "left_semi").withColumn("to", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).where(F.col("to") != F.col("block"))
-    spread = travel.groupBy("cluster", "to").count().select("cluster", "to", F.ceil(F.col("count") / s.block).cast("int").alias("chunks"))
-    guests = travel.join(spread, ["cluster", "to"]).select("cluster", F.col("to").alias("block"), F.pmod(F.xxhash64("id", F.lit(2)), F.col("chunks")).cast("int").alias("chunk"), "id", "signature", "shingles")
+    outside = first.where(f"kind = {_OUTSIDE}").select(F.col("a").alias("id"))
+    # A block is tied to the first one if an envoy of its linked with a member of the first one's largest component.
+    hosts = second.select(F.col("a").alias("id"), F.col("b").alias("host")).join(outside.select(F.col("id").alias("host")), "host", "left_anti")
+    tied = large.join(hosts.select("id").distinct(), "id", "left_semi").select("cluster", "block").distinct()
+    untied = large.where("block > 0").join(tied, ["cluster", "block"], "left_anti").select("id")
+    # Who travels goes where a band key of its own is, found from lists of blocks that are as long as a cluster has blocks.
+    banded_large = large.join(reps.select("id", F.explode("bands").alias("band")), "id")
+    holds = banded_large.groupBy("band").agg(F.collect_set("block").alias("to")).where("size(to) > 1").select(rekeyed("band").alias("key"), "to")
+    own = banded_large.join(outside.union(untied).distinct(), "id", "left_semi").select("id", "band")
+    visits = own.join(holds, rekeyed("band") == F.col("key")).groupBy("id").agg(F.array_distinct(F.flatten(F.collect_set("to"))).alias("to"))
+    travel = cut(large.join(visits, "id").select("cluster", "id", "block", F.explode("to").alias("to")).where("to <> block").select("cluster", "id", "to"))
+    spread = travel.groupBy("cluster", "to").count().select(rekeyed("cluster").alias("key"), F.col("to").alias("key_to"), F.ceil(F.col("count") / s.block).cast("int").alias("chunks"))
+    going = travel.join(spread, (rekeyed("cluster") == F.col("key")) & (F.col("to") == F.col("key_to"))).select("id", "to", "chunks")
+    guests = rows.select("cluster", "id", "signature", "shingles").join(going, "id").select("cluster", F.col("to").alias("block"), F.pmod(F.xxhash64("id", F.lit(2)), F.col("chunks")).cast("int").alias("chunk"), "id", "signature", "shingles")
     return links.unionByName(cut(_visits(rows, guests, s)).select("a", "b"))
 
 
@@ -276,7 +320,7 @@ def drop_near_duplicates(docs: DataFrame, settings: Settings = Settings(), id_co
     Only rows whose id may be among those to go are shuffled with their texts.
     """
     found = cut(near_duplicates(docs, settings, id_col, text_col).select(id_col, "kept"))
-    gone = cut(found.where("not kept").select(F.col(id_col).alias("__tb_gone")).distinct())
+    gone = found.where("not kept").select(F.col(id_col).alias("__tb_gone")).distinct()
     repeated = found.where(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("__tb_gone")).count().where("count > 1").select("__tb_gone")
     known, unknown = docs.where(F.col(id_col).isNotNull()), docs.where(F.col(id_col).isNull())
     maybe, clean = split_by_bitmap(known, id_col, id_bitmap(gone.union(repeated), "__tb_gone"))

@@ -97,11 +97,26 @@ def test_estimate_is_close_to_jaccard():
             n = int(400 * share)
             x, y = pool[:400], pool[400 - n : 800 - n]
             sets = [minhash.shingles(" ".join(t), 1) for t in (x, y)]
-            sigs = minhash.unpack([minhash.pack(minhash.minima(v, a), s.bits) for v in sets], s)
+            sigs = minhash.unpack([minhash.pack(minhash.minima(v, a), s.bits, s.offsets()) for v in sets], s)
             errors.append(minhash.similarity(sigs[0], sigs[1:], s)[0] - len(set(x) & set(y)) / len(set(x) | set(y)))
     assert abs(np.mean(errors)) < 0.03 and np.max(np.abs(errors)) < 0.2
 
 
+@pytest.mark.parametrize(("size", "shared", "pairs"), [(5, 4, 1_000_000), (10, 8, 50_000)])
+def test_no_pair_at_the_threshold_is_dropped(size, shared, pairs):
+    """Sets that share 4 of 5 shingles: the estimate lets them pass, and they share a band."""
+    s, rng, dropped, apart = minhash.Settings(words=2), np.random.default_rng(9), 0, 0
+    a, offsets = s.multipliers(), s.offsets()
+    for _ in range(0, pairs, 1000):
+        x = rng.integers(0, 1 << 32, (1000, size), dtype=np.uint64).astype(np.uint32)
+        m = x[:, :, None] * a
+        one, two = m.min(axis=1), m[:, :shared].min(axis=1)
+        agree = (minhash.low_bits(one, s.bits, offsets) == minhash.low_bits(two, s.bits, offsets)).mean(axis=1)
+        dropped += int(((agree - 0.25) / 0.75 < s.percent / 100 - s.slack).sum())
+        apart += int((~(one == two).reshape(1000, s.bands, s.rows).all(axis=2).any(axis=1)).sum())
+    assert dropped == 0 and apart <= 2
+
+
 def test_odd_near_duplicates(odd, empty):
     got = minhash.near_duplicates(odd, minhash.Settings(words=2)).collect()
     assert len(got) == odd.count()
@@ -120,6 +135,14 @@ def test_components_of_chains_and_stars(spark):
     assert got == {**{i: 0 for i in range(41)}, **{100 + i: 100 for i in range(30)}, 200: 200, 201: 200}
 
 
+def test_components_of_long_paths(spark):
+    r = random.Random(8)
+    names = r.sample(range(10**4, 10**6), 300)
+    edges = [(i, i + 1) for i in range(2000, 2400)] + list(zip(names, names[1:], strict=False))
+    got = {x.id: x.component for x in components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == {i: 2000 for i in range(2000, 2401)} | {i: min(names) for i in names}
+
+
 def test_bitmaps_never_miss(spark):
     df = spark.range(500).withColumnRenamed("id", "k")
     hit, clean = split_by_bitmap(df, "k", id_bitmap(df.where("k % 7 = 0"), "k", 1 << 15), 1 << 15)
