@@ -264,3 +264,48 @@ def test_leaks(spark, odd, empty):
     assert sorted([x.doc_id for x in decontam.remove_leaks(df, benchmark).collect()], key=repr) == sorted([3, 5, 5, 6, None], key=repr)
     assert decontam.leaks(odd, benchmark).count() == 0 and decontam.leaks(empty, benchmark).count() == 0
     assert decontam.remove_leaks(odd, benchmark.where("false")).count() == odd.count()
+
+
+def brute_leaks(docs, items, threshold, least=5):
+    cut = lambda t: re.sub(r"[^0-9a-z]", " ", (t or "").lower()).split()
+    out = set()
+    for d, t in docs:
+        for i, p in items:
+            p, m = cut(p), min(least, len(cut(p)))
+            if d is not None and p and sum(x[2] for x in brute_tiles(p, cut(t), m)) >= max(1, threshold * len(p)):
+                out.add((d, i))
+    return out
+
+
+@pytest.mark.parametrize("common", [1, 8])
+def test_leaks_like_brute_force(spark, common):
+    """A run that all documents and items share, items of one to four tokens, cut up and reordered passages."""
+    r = random.Random(12)
+    fill = lambda n: [f"w{r.randrange(3000)}" for _ in range(n)]
+    shared = [f"s{i}" for i in range(9)]
+    items = [shared + fill(r.randrange(6, 30)) for _ in range(24)] + [fill(n) for n in (1, 2, 3, 4)]
+    docs = []
+    for k in range(70):
+        w = fill(r.randrange(12)) + shared
+        if k % 3:
+            p = list(r.choice(items))
+            p = p[: r.randrange(1 + len(p) // 2, 1 + len(p))]
+            at = r.randrange(len(p))
+            w += r.choice([p, p[at:] + fill(2) + p[:at]]) + fill(r.randrange(5))
+        if k % 5 == 0:
+            w += items[24 + k % 4]
+        docs.append((k, " ".join(w)))
+    items = [(i, " ".join(w)) for i, w in enumerate(items)]
+    got = decontam.leaks(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"), common=common, bits=1 << 15).collect()
+    want = brute_leaks(docs, items, 0.8)
+    assert {(x.doc_id, x.item_id) for x in got} == want and any(i >= 24 for _, i in want) and len(want) > 10
+
+
+def test_common_seeds_join_no_pairs(spark):
+    """Documents that share a run with all items, and no more, are dropped before any text moves."""
+    shared = " ".join(f"s{i}" for i in range(6))
+    docs = spark.range(200).selectExpr("id", f"concat('{shared} d', id) as text")
+    items = spark.range(40).selectExpr("id", f"concat('{shared}', array_join(transform(sequence(1, 40), x -> concat(' i', id, 'x', x)), '')) as text")
+    wanted = decontam._needed(decontam._item_seeds(items, 5), 0.8, 8)
+    assert wanted.join(decontam._item_seeds(docs.where("id = 0"), 5).select("seed"), "seed").count() == 0
+    assert decontam._candidates(docs, items, 0.8, 5, 8, None).count() == 0
