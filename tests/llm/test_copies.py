@@ -177,8 +177,8 @@ def brute_repeats(rows, n):
     return sorted(out, key=repr)
 
 
-@pytest.mark.parametrize("n", [1, 2, 7, 10])
-def test_passages_like_brute_force(spark, n):
+@pytest.mark.parametrize(("n", "start"), [(1, 16), (2, 16), (7, 16), (10, 3), (7, 1)])
+def test_passages_like_brute_force(spark, n, start):
     r = random.Random(n)
     vocabulary = [f"v{i}" for i in range(60)]
     passages = [[r.choice(vocabulary) for _ in range(r.randrange(5, 30))] for _ in range(6)]
@@ -191,9 +191,9 @@ def test_passages_like_brute_force(spark, n):
         rows.append((i * 3 % 61, " ".join(w)))
     rows += [(500, rows[0][1]), (501, "x " * 40), (502, "x " * 25), (503, None), (None, rows[1][1]), (504, "y " * 40)]
     df = spark.createDataFrame(rows, "doc_id long, text string")
-    got = substrings.remove_repeats(df, n)
+    got = substrings.remove_repeats(df, n, start=start)
     assert sorted(map(tuple, got.collect()), key=repr) == brute_repeats(rows, n)
-    digests = {r.doc_id: r.kept_sha256 for r in substrings.remove_repeats(df, n, digest=True).collect() if r.doc_id is not None}
+    digests = {r.doc_id: r.kept_sha256 for r in substrings.remove_repeats(df, n, digest=True, start=start).collect() if r.doc_id is not None}
     assert all(digests[i] == hashlib.sha256(t.encode()).hexdigest() for i, _, _, t in brute_repeats(rows, n) if i is not None)
 
 
@@ -203,10 +203,30 @@ def test_odd_passages(odd, empty):
     assert substrings.remove_repeats(empty, 5).count() == 0 and substrings.repeat_levels(empty, 5).count() == 0
 
 
-def test_levels_end(spark):
+def test_ladder():
+    assert substrings.ladder(50) == [13, 25, 50] and substrings.ladder(1) == [1, 1] and substrings.ladder(7, 1) == [1, 2, 4, 7] and substrings.ladder(10) == [5, 10]
+
+
+def test_levels_end(spark, monkeypatch):
     base = [f"u{i}" for i in range(50)]
+    read, windows_of = [], substrings.repeated_windows
+    monkeypatch.setattr(substrings, "repeated_windows", lambda rows, n, start: read.append(rows.count()) or windows_of(rows, n, start))
     df = spark.createDataFrame([(1, " ".join(base)), (2, " ".join(base[:25] + ["z"])), (3, " ".join(["q"] + base[5:12])), (4, "nothing here")], "doc_id long, text string")
     assert {r.doc_id: r.words for r in substrings.repeat_levels(df, 5).collect()} == {2: 20, 3: 5}
+    assert read == [4, 3, 2, 2]  # at 5, 10, 20 and 40 words
+
+
+def test_shorter_levels_read_less(spark, monkeypatch):
+    """Documents whose passages end before the next length take no part in it."""
+    r = random.Random(1)
+    text = lambda n: [f"z{r.randrange(10**7)}" for _ in range(n)]
+    shared = [text(n) for n in (15, 30, 60)]
+    rows = [(10 * k + j, " ".join(text(40) + shared[k] + text(40))) for k in range(3) for j in range(4)] + [(100 + j, " ".join(text(90))) for j in range(8)]
+    df, seen, hits = spark.createDataFrame(rows, "doc_id long, text string"), [], substrings._hits
+    monkeypatch.setattr(substrings, "_hits", lambda found: seen.append(found.count()) or hits(found))
+    got = {x.doc_id: x.n_removed for x in substrings.remove_repeats(df, 50, start=7).collect()}
+    assert {i: n for i, n in got.items() if n} == {21: 60, 22: 60, 23: 60}
+    assert seen == [20, 8, 4]  # documents compared by windows of 7, 13 and 25 words
 
 
 # ---- leaks
