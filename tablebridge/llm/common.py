@@ -95,7 +95,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
 def cut(df: DataFrame) -> DataFrame:
     """A reliable checkpoint: lost executors don't lose it, and Spark's cleaner removes it when it's no longer used."""
     ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    done = df.checkpoint(eager=True)
+    # A checkpoint takes over its plan's estimated size, and a join's estimate is the product of its sides': in a loop over
+    # checkpoints the digits of that number would multiply each round, and with them the driver's time and memory. The
+    # same files as a plan without an estimate:
+    spark = df.sparkSession
+    return DataFrame(spark._jsparkSession.internalCreateDataFrame(done._jdf.queryExecution().toRdd(), done._jdf.schema(), False), spark)
 
 
 def pieces(batches: Iterable[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:

@@ -9,10 +9,11 @@
    yet connected are estimated from signatures (agreeing low bits, corrected for chance agreement) and
    what may reach the threshold is confirmed on the full sets; small sets are confirmed without an
    estimate. A block emits a spanning forest of its links, never all of them.
-5. Of a cluster with several blocks, a few members of each block's largest component visit the first
-   block, which ties those components together. Every other document, and every member of a component
-   that wasn't tied, then visits the blocks that hold a document with one of its band keys. So no
-   candidate between components is missed, and members of the main one aren't compared again.
+5. The few documents of a cluster that most others share a bucket with, its hubs, are in all its blocks,
+   which ties components of blocks together. The hub with the most documents tied to it makes the
+   cluster's main component; every document outside of it then visits the other blocks that hold a
+   document with one of its band keys. So no candidate between components is missed, and members of the
+   main one aren't compared again.
 
 The chance that a pair at the threshold shares no band is below (1 - 0.8 ** 5) ** 40, about 1e-7. That
 the estimate drops such a pair has a chance of about 1e-8: agreement of 200 lanes is binomial with 0.85.
@@ -31,7 +32,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablebridge.llm.common import components, cut, groups, id_bitmap, map_arrow, mix, pieces, rekeyed, sequence_key, split_by_bitmap, windows, word_bytes, word_hashes
@@ -51,7 +52,7 @@ class Settings:
     #: Documents in a block, and shingles if its texts are long.
     block: int = 1000
     block_shingles: int = 4_000_000
-    envoys: int = 8
+    hubs: int = 8
 
     def multipliers(self) -> np.ndarray:
         rng = np.random.default_rng(20240601)
@@ -213,12 +214,15 @@ def _edges(pairs: list[tuple[int, int]], kind: list[int], where: tuple) -> pa.Re
 
 
 _EDGES = "cluster long, block int, a long, b long, kind int"
-#: Kinds of rows that blocks emit: a link; a member that speaks for the block's largest component; a row outside of it.
-_LINK, _ENVOY, _OUTSIDE = 0, 1, 2
+#: Kinds of rows that blocks emit: a link; a document (a) that is tied to a hub (b); one that is tied to none.
+_LINK, _TIED, _LOOSE = 0, 1, 2
 
 
 def _inside(rows: DataFrame, s: Settings) -> DataFrame:
-    """Links in each (cluster, block), and of clusters with several blocks who speaks for a block and who is outside."""
+    """Links in each (cluster, block), and of clusters with several blocks which hub of the lowest rank a document is tied to.
+
+    rows: cluster, block, blocks, hub (its rank, or 0), guest (whether it is there as a hub only), id, signature, shingles.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for where, t in groups(batches, 3):
@@ -227,15 +231,16 @@ def _inside(rows: DataFrame, s: Settings) -> DataFrame:
             links = _links(s, ids, sigs, sets, forest, range(len(ids)), 0)
             found = [_LINK] * len(links)
             if where[2] > 1:
-                roots = np.array([forest.find(i) for i in range(len(ids))])
-                top = roots == np.bincount(roots).argmax()
-                speak = [(ids[i], ids[i]) for i in np.flatnonzero(top)[: s.envoys]]
-                alone = [(ids[i], ids[i]) for i in np.flatnonzero(~top)]
-                links += speak + alone
-                found += [_ENVOY] * len(speak) + [_OUTSIDE] * len(alone)
+                hub, guest = t["hub"].to_pylist(), t["guest"].to_pylist()
+                ties: dict[int, int] = {}
+                for i in sorted((i for i, h in enumerate(hub) if h), key=lambda i: hub[i]):
+                    ties.setdefault(forest.find(i), ids[i])
+                own = [(ids[i], ties.get(forest.find(i))) for i, g in enumerate(guest) if not g]
+                links += [(i, i if h is None else h) for i, h in own]
+                found += [_LOOSE if h is None else _TIED for _, h in own]
             yield _edges(links, found, where)
 
-    return map_arrow(rows.repartition("cluster", "block").sortWithinPartitions("cluster", "block", "id").select("cluster", "block", "blocks", "id", "signature", "shingles"), run, _EDGES)
+    return map_arrow(rows.repartition("cluster", "block").sortWithinPartitions("cluster", "block", "id").select("cluster", "block", "blocks", "hub", "guest", "id", "signature", "shingles"), run, _EDGES)
 
 
 def _visits(rows: DataFrame, guests: DataFrame, s: Settings) -> DataFrame:
@@ -286,30 +291,34 @@ def _representative_links(texts: DataFrame, reps: DataFrame, s: Settings) -> Dat
         sets = shingle_sets(maybe.select("id", "text"), s)
         return rows.join(reps.select("id", "signature"), "id").join(sets, "id")
 
-    first = cut(_inside(with_sets(placed), s))
-    links = first.where(f"kind = {_LINK}").select("a", "b")
     large = placed.where("blocks > 1")
-    if large.limit(1).count() == 0:
+    some = large.limit(1).count() > 0
+    plain = placed.withColumns({"hub": F.lit(0), "guest": F.lit(False)})
+    if some:
+        # The documents that most others share a bucket with; Spark limits the ranks before it shuffles them.
+        known = star.groupBy(F.col("b").alias("id")).count().join(large, "id")
+        order = Window.partitionBy("cluster").orderBy(F.desc("count"), "id")
+        hubs = cut(known.withColumn("hub", F.row_number().over(order)).where(F.col("hub") <= s.hubs).select("id", "hub"))
+        there = large.join(hubs, "id").withColumn("to", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        guests = there.select("id", "cluster", "blocks", F.col("to").alias("block"), "hub", (F.col("to") != F.col("block")).alias("guest"))
+        small = placed.where("blocks = 1").withColumns({"hub": F.lit(0), "guest": F.lit(False)})
+        plain = small.unionByName(large.join(hubs, "id", "left_anti").withColumns({"hub": F.lit(0), "guest": F.lit(False)})).unionByName(guests)
+    first = cut(_inside(with_sets(plain), s))
+    links = first.where(f"kind = {_LINK}").select("a", "b")
+    if not some:
         return links
-    rows = cut(with_sets(large).select("cluster", "blocks", "block", "id", "signature", "shingles"))
-    chunk = F.pmod(F.xxhash64("id", F.lit(1)), F.greatest(F.lit(1), (F.col("blocks") * s.envoys / s.block).cast("int"))).cast("int")
-    speak = first.where(f"kind = {_ENVOY} and block > 0").select(F.col("a").alias("id")).distinct()
-    envoys = rows.where("block > 0").join(speak, "id", "left_semi")
-    second = cut(_visits(rows, envoys.select("cluster", F.lit(0).alias("block"), chunk.alias("chunk"), "id", "signature", "shingles"), s))
-    links = links.unionByName(second.select("a", "b"))
-    outside = first.where(f"kind = {_OUTSIDE}").select(F.col("a").alias("id"))
-    # A block is tied to the first one if an envoy of its linked with a member of the first one's largest component.
-    hosts = second.select(F.col("a").alias("id"), F.col("b").alias("host")).join(outside.select(F.col("id").alias("host")), "host", "left_anti")
-    tied = large.join(hosts.select("id").distinct(), "id", "left_semi").select("cluster", "block").distinct()
-    untied = large.where("block > 0").join(tied, ["cluster", "block"], "left_anti").select("id")
+    tied = first.where(f"kind = {_TIED}").select("cluster", F.col("a").alias("id"), F.col("b").alias("hub"))
+    main = tied.groupBy("cluster", "hub").count().groupBy("cluster").agg(F.max_by("hub", F.struct("count", "hub")).alias("main"))
+    away = tied.join(main.select(F.col("main").alias("hub")), "hub", "left_anti").select("id").union(first.where(f"kind = {_LOOSE}").select("a"))
     # Who travels goes where a band key of its own is, found from lists of blocks that are as long as a cluster has blocks.
-    banded_large = large.join(reps.select("id", F.explode("bands").alias("band")), "id")
-    holds = banded_large.groupBy("band").agg(F.collect_set("block").alias("to")).where("size(to) > 1").select(rekeyed("band").alias("key"), "to")
-    own = banded_large.join(outside.union(untied).distinct(), "id", "left_semi").select("id", "band")
+    outside = cut(large.join(away.distinct(), "id"))
+    holds = large.join(reps.select("id", "bands"), "id").select("block", F.explode("bands").alias("band")).groupBy("band").agg(F.collect_set("block").alias("to")).where("size(to) > 1").select(rekeyed("band").alias("key"), "to")
+    own = outside.join(reps.select("id", "bands"), "id").select("id", F.explode("bands").alias("band"))
     visits = own.join(holds, rekeyed("band") == F.col("key")).groupBy("id").agg(F.array_distinct(F.flatten(F.collect_set("to"))).alias("to"))
-    travel = cut(large.join(visits, "id").select("cluster", "id", "block", F.explode("to").alias("to")).where("to <> block").select("cluster", "id", "to"))
+    travel = cut(outside.join(visits, "id").select("cluster", "id", "block", F.explode("to").alias("to")).where("to <> block").select("cluster", "id", "to"))
     spread = travel.groupBy("cluster", "to").count().select(rekeyed("cluster").alias("key"), F.col("to").alias("key_to"), F.ceil(F.col("count") / s.block).cast("int").alias("chunks"))
     going = travel.join(spread, (rekeyed("cluster") == F.col("key")) & (F.col("to") == F.col("key_to"))).select("id", "to", "chunks")
+    rows = cut(with_sets(large).select("cluster", "blocks", "block", "id", "signature", "shingles"))
     guests = rows.select("cluster", "id", "signature", "shingles").join(going, "id").select("cluster", F.col("to").alias("block"), F.pmod(F.xxhash64("id", F.lit(2)), F.col("chunks")).cast("int").alias("chunk"), "id", "signature", "shingles")
     return links.unionByName(cut(_visits(rows, guests, s)).select("a", "b"))
 

@@ -79,10 +79,10 @@ def corpus():
     return rows
 
 
-@pytest.mark.parametrize(("k", "block", "envoys"), [(2, 1000, 8), (5, 1000, 8), (2, 12, 2)])
-def test_components_like_brute_force(spark, corpus, k, block, envoys):
+@pytest.mark.parametrize(("k", "block", "hubs"), [(2, 1000, 8), (5, 1000, 8), (2, 12, 2), (2, 7, 1)])
+def test_components_like_brute_force(spark, corpus, k, block, hubs):
     df = spark.createDataFrame(corpus, "doc_id long, text string")
-    got = {r.doc_id: r for r in minhash.near_duplicates(df, minhash.Settings(words=k, block=block, envoys=envoys)).collect()}
+    got = {r.doc_id: r for r in minhash.near_duplicates(df, minhash.Settings(words=k, block=block, hubs=hubs)).collect()}
     want = brute_components(corpus, k)
     assert {i: r.component_id for i, r in got.items()} == want
     assert all(got[i].n_shingles == len(shingle_set(t, k)) and got[i].kept == (want[i] == i) for i, t in corpus)
