@@ -103,6 +103,14 @@ def cut(df: DataFrame) -> DataFrame:
     return DataFrame(spark._jsparkSession.internalCreateDataFrame(done._jdf.queryExecution().toRdd(), done._jdf.schema(), False), spark)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, or ``name`` with a number if the DataFrame has a column of that name (in any case) already."""
+    taken, k, out = {c.lower() for c in df.columns}, 2, name
+    while out.lower() in taken:
+        out, k = f"{name}_{k}", k + 1
+    return out
+
+
 def pieces(batches: Iterable[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
     """Small slices, so that Python objects exist for a few rows at a time."""
     for batch in batches:

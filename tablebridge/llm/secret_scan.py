@@ -21,6 +21,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tablebridge.llm.common import free_name
+
 #: What names a secret, in texts before its value.
 _KEY = r"(?:pass(?:word|wd|phrase)?|pwd|secret|token|(?:api|access|private|auth|signing)[_ -]?key|credentials?|auth(?:orization)?|bearer|signature)"
 #: Java looks behind for a bounded length only; the short look at an assignment goes first, as it fails fast.
@@ -28,7 +30,7 @@ _ASSIGNED = rf"(?<=(?i:{_KEY})[\"']?[ \t]{{0,3}}(?:[=:]|:=|=>)[ \t]{{0,3}}"
 #: Private key blocks; what is assigned to a key word, quotes and spaces allowed; what follows another assignment, in
 #: quotes or up to its last letter or digit; long tokens with a digit or a known head.
 CANDIDATE = (
-    r"-----BEGIN[A-Z ]{0,30}PRIVATE KEY(?: BLOCK)?-----(?:\s*+[A-Za-z][A-Za-z0-9-]{0,30}: [^\r\n]*+)*+[A-Za-z0-9+/=\s]*+(?:-----END[A-Z ]{0,30}PRIVATE KEY(?: BLOCK)?-----)?"
+    r"-----BEGIN[A-Z ]{0,30}PRIVATE KEY(?: BLOCK)?-----(?:\s*+[A-Za-z][A-Za-z0-9-]{0,30}: [^\r\n]*+){0,50}+[A-Za-z0-9+/=\s]*+(?:-----END[A-Z ]{0,30}PRIVATE KEY(?: BLOCK)?-----)?"
     rf"|(?<=[=:>][ \t]{{0,3}}\"){_ASSIGNED}\")[^\"\r\n]{{6,200}}+(?=\")"
     rf"|(?<=[=:>][ \t]{{0,3}}'){_ASSIGNED}')[^'\r\n]{{6,200}}+(?=')"
     r"|(?<=[=:][\"']|[=:]\s{1,3}[\"'])[^\s\"']{6,}+(?=[\"'])"
@@ -270,11 +272,11 @@ def _judged(text: Column, path: Column, forest: Forest) -> tuple[Column, Column]
     return pieces, judged
 
 
-def _scanned(docs: DataFrame, forest: Forest, text_col: str, path_col: str | None) -> DataFrame:
+def _scanned(docs: DataFrame, forest: Forest, text_col: str, path_col: str | None, judged_col: str = "__tb_judged", pieces_col: str = "__tb_pieces") -> DataFrame:
     text, path = F.col(text_col), F.col(path_col).cast("string") if path_col else F.lit("")
     pieces, judged = _judged(text, path, forest)
     some = text.rlike(CANDIDATE)
-    return docs.withColumn("__tb_judged", F.when(some, judged)).withColumn("__tb_pieces", F.when(F.col("__tb_judged").isNotNull(), pieces))
+    return docs.withColumn(judged_col, F.when(some, judged)).withColumn(pieces_col, F.when(F.col(judged_col).isNotNull(), pieces))
 
 
 def findings(docs: DataFrame, forest: Forest | None = None, threshold: float = 0.5, id_col: str = "doc_id", text_col: str = "text", path_col: str | None = None) -> DataFrame:
@@ -289,10 +291,12 @@ def findings(docs: DataFrame, forest: Forest | None = None, threshold: float = 0
 
 
 def redact(docs: DataFrame, forest: Forest | None = None, threshold: float = 0.5, text_col: str = "text", path_col: str | None = None, mask: str = MASK, count_col: str = "n_secrets") -> DataFrame:
-    """``docs`` with each secret replaced by a mask, and their number as count_col; other texts and columns as they were."""
+    """``docs`` with each secret replaced by a mask, and their number as count_col (with a number after its name if that is taken); other
+    texts and columns as they were."""
     forest = forest or default_forest(docs.sparkSession)
-    rows = _scanned(docs, forest, text_col, path_col)
-    cleaned = F.transform(F.col("__tb_judged"), lambda c: F.when(c["score"] >= threshold, F.lit(mask)).otherwise(c["value"]))
-    whole = F.array_join(F.flatten(F.zip_with(F.col("__tb_pieces"), cleaned, lambda p, v: F.array(p, F.coalesce(v, F.lit(""))))), "")
-    n = F.size(F.filter("__tb_judged", lambda c: c["score"] >= threshold))
-    return rows.withColumn(count_col, F.when(F.col("__tb_judged").isNotNull(), n).otherwise(0)).withColumn(text_col, F.when(F.col(count_col) > 0, whole).otherwise(F.col(text_col))).drop("__tb_judged", "__tb_pieces")
+    count, judged, pieces = free_name(docs, count_col), free_name(docs, "__tb_judged"), free_name(docs, "__tb_pieces")
+    rows = _scanned(docs, forest, text_col, path_col, judged, pieces)
+    cleaned = F.transform(F.col(judged), lambda c: F.when(c["score"] >= threshold, F.lit(mask)).otherwise(c["value"]))
+    whole = F.array_join(F.flatten(F.zip_with(F.col(pieces), cleaned, lambda p, v: F.array(p, F.coalesce(v, F.lit(""))))), "")
+    n = F.size(F.filter(judged, lambda c: c["score"] >= threshold))
+    return rows.withColumn(count, F.when(F.col(judged).isNotNull(), n).otherwise(0)).withColumn(text_col, F.when(F.col(count) > 0, whole).otherwise(F.col(text_col))).drop(judged, pieces)
