@@ -103,6 +103,11 @@ def cut(df: DataFrame) -> DataFrame:
     return DataFrame(spark._jsparkSession.internalCreateDataFrame(done._jdf.queryExecution().toRdd(), done._jdf.schema(), False), spark)
 
 
+def let(value: F.Column, f: Callable) -> F.Column:
+    """f(value) with value computed once."""
+    return F.get(F.transform(F.array(value), f), F.lit(0))
+
+
 def free_name(df: DataFrame, name: str) -> str:
     """``name``, or ``name`` with a number if the DataFrame has a column of that name (in any case) already."""
     taken, k, out = {c.lower() for c in df.columns}, 2, name

@@ -28,7 +28,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablebridge.llm.common import free_name
+from tablebridge.llm.common import free_name, let
 
 ROUNDS = 8
 #: Formats in the order in which they are tried at a place.
@@ -105,7 +105,7 @@ def permute_letters(letters: Column, key: Column, tweak: Column | str) -> Column
     number = lambda t: F.conv(F.translate(t, _LETTERS, _BASE_26), 26, 10).try_cast("long")
     word = lambda x, k: F.lpad(F.translate(F.lower(F.conv(x.cast("string"), 10, 26)), _BASE_26, _LETTERS), k, F.lit("a"))
     got = feistel(F.when(left == 0, 0).otherwise(number(F.substring(letters, F.lit(1), left))), number(F.substring(letters, left + 1, n)), power(left), power(n - left), key, F.concat_ws(":", F.lit(tweak) if isinstance(tweak, str) else tweak, n.cast("string")))
-    return _let(got, lambda s: F.concat(F.when(left == 0, "").otherwise(word(s["a"], left)), word(s["b"], n - left)))
+    return let(got, lambda s: F.concat(F.when(left == 0, "").otherwise(word(s["a"], left)), word(s["b"], n - left)))
 
 
 def luhn_sum(digits: Column) -> Column:
@@ -140,26 +140,21 @@ def _only_digits(v: Column) -> Column:
     return F.regexp_replace(v, "[^0-9]", "")
 
 
-def _let(value: Column, f) -> Column:
-    """f(value) with value computed once."""
-    return F.get(F.transform(F.array(value), f), F.lit(0))
-
-
 def _card(v: Column, key: Column) -> Column:
     def made(d: Column) -> Column:
         body = permute_digits(F.substring(d, F.lit(1), F.length(d) - 1), key, "card")
-        return _let(body, lambda b: _refill(v, F.concat(b, F.pmod(10 - luhn_sum(F.concat(b, F.lit("0"))) % 10, F.lit(10)).cast("string"))))
+        return let(body, lambda b: _refill(v, F.concat(b, F.pmod(10 - luhn_sum(F.concat(b, F.lit("0"))) % 10, F.lit(10)).cast("string"))))
 
-    return _let(_only_digits(v), lambda d: F.when(F.length(d).between(13, 19) & (luhn_sum(d) % 10 == 0), made(d)))
+    return let(_only_digits(v), lambda d: F.when(F.length(d).between(13, 19) & (luhn_sum(d) % 10 == 0), made(d)))
 
 
 def _iban(v: Column, key: Column) -> Column:
     def made(c: Column) -> Column:
         country, body = F.substring(c, 1, 2), F.substring(c, F.lit(5), F.length(c))
-        new = _let(_only_digits(body), lambda d: F.when(F.length(d) == 0, body).otherwise(_refill(body, permute_digits(d, key, F.concat_ws(":", F.lit("iban"), country, F.regexp_replace(body, "[0-9]", ""))))))
-        return _let(new, lambda b: _shape(v, F.concat(country, F.lpad((98 - mod97(F.concat(b, country, F.lit("00")))).cast("string"), 2, "0"), b)))
+        new = let(_only_digits(body), lambda d: F.when(F.length(d) == 0, body).otherwise(_refill(body, permute_digits(d, key, F.concat_ws(":", F.lit("iban"), country, F.regexp_replace(body, "[0-9]", ""))))))
+        return let(new, lambda b: _shape(v, F.concat(country, F.lpad((98 - mod97(F.concat(b, country, F.lit("00")))).cast("string"), 2, "0"), b)))
 
-    return _let(F.replace(v, F.lit(" "), F.lit("")), lambda c: F.when(F.length(c).between(15, 34) & (mod97(F.concat(F.substring(c, F.lit(5), F.length(c)), F.substring(c, 1, 4))) == 1), made(c)))
+    return let(F.replace(v, F.lit(" "), F.lit("")), lambda c: F.when(F.length(c).between(15, 34) & (mod97(F.concat(F.substring(c, F.lit(5), F.length(c)), F.substring(c, 1, 4))) == 1), made(c)))
 
 
 def _shape(shape: Column, chars: Column) -> Column:
@@ -176,9 +171,9 @@ def _ip(v: Column, key: Column) -> Column:
         octet = lambda k: o[k].try_cast("long")
         got = feistel(octet(0) * 256 + octet(1), octet(2) * 256 + octet(3), F.lit(65536), F.lit(65536), key, "ip")
         part = lambda x, hi: (F.floor(x / 256) if hi else x % 256).cast("long").cast("string")
-        return _let(got, lambda s: F.concat_ws(".", part(s["a"], True), part(s["a"], False), part(s["b"], True), part(s["b"], False)))
+        return let(got, lambda s: F.concat_ws(".", part(s["a"], True), part(s["a"], False), part(s["b"], True), part(s["b"], False)))
 
-    return _let(F.split(v, r"\."), lambda o: F.when(F.forall(o, lambda x: x.try_cast("int") <= 255), made(o)))
+    return let(F.split(v, r"\."), lambda o: F.when(F.forall(o, lambda x: x.try_cast("int") <= 255), made(o)))
 
 
 def _leaps(y: Column) -> Column:
@@ -214,9 +209,9 @@ def _day_of_index(grade: Column, i: Column) -> Column:
     def in_year(y: Column) -> Column:
         rest = (i - before(y)).cast("int")
         offset = lambda m: F.get(F.array(*map(F.lit, _LATE)), m - 1) + F.when(_is_leap(y) & (m > 2), 1).otherwise(0)
-        return _let(F.array_max(F.filter(F.sequence(F.lit(1), F.lit(12)), lambda m: offset(m) <= rest)), lambda m: F.make_date(y, m, rest - offset(m) + 29))
+        return let(F.array_max(F.filter(F.sequence(F.lit(1), F.lit(12)), lambda m: offset(m) <= rest)), lambda m: F.make_date(y, m, rest - offset(m) + 29))
 
-    return F.when(grade < 2, early).otherwise(_let(F.array_max(years), in_year))
+    return F.when(grade < 2, early).otherwise(let(F.array_max(years), in_year))
 
 
 def _date(v: Column, key: Column) -> Column:
@@ -234,15 +229,15 @@ def _date(v: Column, key: Column) -> Column:
         def new(x: Column) -> Column:
             half = lambda k: F.element_at(F.array(*(F.lit(sizes[k]) for sizes in _DAYS)), x["grade"] + 1)
             got = feistel(F.floor(x["i"] / half(1)), x["i"] % half(1), half(0), half(1), key, F.concat(F.lit("date:"), x["grade"].cast("string")))
-            return _let(got, lambda s: _day_of_index(x["grade"], s["a"] * half(1) + s["b"]))
+            return let(got, lambda s: _day_of_index(x["grade"], s["a"] * half(1) + s["b"]))
 
         def shown(t: Column) -> Column:
             y, m, day = (F.date_format(t, f) for f in ("yyyy", "MM", "dd"))
             return F.when(iso, F.concat_ws("-", y, m, day)).when(swapped, F.concat(m, sep, day, sep, y)).otherwise(F.concat(day, sep, m, sep, y))
 
-        return _let(_let(_day_index(d), new), shown)
+        return let(let(_day_index(d), new), shown)
 
-    return _let(parsed, lambda d: F.when(F.year(d).between(*_YEARS), made(d)))
+    return let(parsed, lambda d: F.when(F.year(d).between(*_YEARS), made(d)))
 
 
 def _ssn(v: Column, key: Column) -> Column:
@@ -256,7 +251,7 @@ def _ssn(v: Column, key: Column) -> Column:
         pad = lambda x, n: F.lpad(x.cast("long").cast("string"), n, "0")
         return F.concat_ws("-", pad(F.when(i >= 665, i + 2).otherwise(i + 1), 3), pad(s["a"] % 99 + 1, 2), pad(s["b"] + 1, 4))
 
-    return F.when(valid, _let(got, shown))
+    return F.when(valid, let(got, shown))
 
 
 def _phone(v: Column, key: Column) -> Column:
@@ -268,7 +263,7 @@ def _phone(v: Column, key: Column) -> Column:
         tweak = F.concat(F.lit("phone:"), F.when(c == "", "1").otherwise(c))
         return _refill(v, F.concat(c, permute_digits(number, key, tweak)))
 
-    return _let(_only_digits(v), lambda d: _let(code, lambda c: F.when(F.length(d).between(8, 15), made(d, c))))
+    return let(_only_digits(v), lambda d: let(code, lambda c: F.when(F.length(d).between(8, 15), made(d, c))))
 
 
 def _email(v: Column, key: Column) -> Column:
@@ -282,13 +277,13 @@ def _email(v: Column, key: Column) -> Column:
 
         def pieces(t: Column, n: int, permute, what) -> Column:
             """A name has up to 64 characters: its letters by 26 and its digits by 36, each permuted by itself."""
-            return F.concat(*(_let(part(t, k, n), lambda p, k=k: F.when(F.length(p) == 0, "").otherwise(permute(p, key, F.concat_ws("|", what, F.lit(str(k)))))) for k in range(-(-64 // n))))
+            return F.concat(*(let(part(t, k, n), lambda p, k=k: F.when(F.length(p) == 0, "").otherwise(permute(p, key, F.concat_ws("|", what, F.lit(str(k)))))) for k in range(-(-64 // n))))
 
         # The letters depend on the new digits too, so that names that differ in digits alone share nothing.
-        return _let(pieces(digits, 36, permute_digits, tweak("digits")), lambda nd: _let(pieces(letters, 26, permute_letters, F.concat_ws("|", tweak("letters"), nd)), lambda nl: _spelled(name, nl, nd)))
+        return let(pieces(digits, 36, permute_digits, tweak("digits")), lambda nd: let(pieces(letters, 26, permute_letters, F.concat_ws("|", tweak("letters"), nd)), lambda nl: _spelled(name, nl, nd)))
 
     # The domain is no person's.
-    return _let(F.lower(F.regexp_extract(v, "^([^@]+)@", 1)), lambda name: F.concat(made(name), F.lit("@"), domain))
+    return let(F.lower(F.regexp_extract(v, "^([^@]+)@", 1)), lambda name: F.concat(made(name), F.lit("@"), domain))
 
 
 def _spelled(shape: Column, letters: Column, digits: Column) -> Column:
@@ -310,7 +305,7 @@ def pseudonym(value: Column, key: Column) -> Column:
     """struct(kind, value) of one candidate: the first format that fits and is valid; kind null and the value itself if none is."""
     def made(kind: str, pattern: str) -> Column:
         fits = F.when(value.rlike(f"^(?:{pattern})$"), _MAKERS[kind](value, key))
-        return _let(fits, lambda m: F.when(m.isNotNull(), F.struct(F.lit(kind).alias("kind"), m.alias("value"))))
+        return let(fits, lambda m: F.when(m.isNotNull(), F.struct(F.lit(kind).alias("kind"), m.alias("value"))))
 
     # Side by side, not one in another: each level of functions takes the analyzer a few turns.
     return F.coalesce(*(made(k, p) for k, p in PATTERNS.items()), F.struct(F.lit(None).cast("string").alias("kind"), value.alias("value")))
@@ -335,12 +330,12 @@ def _numbers(run: Column, kinds: tuple[str, ...], card) -> Column:
             good = F.filter(F.transform(ends, lambda j: F.struct(j.alias("j"), piece(t, i, j).alias("s"))), lambda e: e["s"].rlike(found) | card(e["s"]))
             taken = lambda e: F.struct(F.concat(state["out"], F.array(token(piece(t, state["at"], i - 1), False), token(e["s"], True))).alias("out"), (e["j"] + 1).alias("at"))
             there = (i >= state["at"]) & F.get(t, i - 1).rlike("^[A-Z0-9]")
-            return F.when(there, _let(F.get(good, F.lit(0)), lambda e: F.when(e.isNotNull(), taken(e)).otherwise(state))).otherwise(state)
+            return F.when(there, let(F.get(good, F.lit(0)), lambda e: F.when(e.isNotNull(), taken(e)).otherwise(state))).otherwise(state)
 
         start = F.struct(F.array().cast("array<struct<s:string,try:boolean>>").alias("out"), F.lit(1).alias("at"))
         return F.aggregate(F.sequence(F.lit(1), n), start, step, lambda z: F.concat(z["out"], F.array(token(piece(t, z["at"], n), False))))
 
-    return F.when(run.rlike("[A-Z0-9]"), _let(F.regexp_extract_all(run, F.lit("[A-Z0-9]+|[ -]+"), F.lit(0)), split)).otherwise(F.array(token(run, False)))
+    return F.when(run.rlike("[A-Z0-9]"), let(F.regexp_extract_all(run, F.lit("[A-Z0-9]+|[ -]+"), F.lit(0)), split)).otherwise(F.array(token(run, False)))
 
 
 def _tokens(v: Column) -> Column:
@@ -348,7 +343,7 @@ def _tokens(v: Column) -> Column:
     own = ("date", "ssn", "phone")
     usual = _numbers(v, own, lambda x: x.rlike(_USUAL) & _valid_card(x))
     cards = F.flatten(F.transform(usual, lambda t: F.when(t["try"], F.array(t)).otherwise(_numbers(t["s"], own, _valid_card))))
-    is_iban = lambda x: x.rlike(f"^(?:{PATTERNS['iban']})$") & _let(F.replace(x, F.lit(" "), F.lit("")), lambda c: F.length(c).between(15, 34) & (mod97(F.concat(F.substring(c, F.lit(5), F.length(c)), F.substring(c, 1, 4))) == 1))
+    is_iban = lambda x: x.rlike(f"^(?:{PATTERNS['iban']})$") & let(F.replace(x, F.lit(" "), F.lit("")), lambda c: F.length(c).between(15, 34) & (mod97(F.concat(F.substring(c, F.lit(5), F.length(c)), F.substring(c, 1, 4))) == 1))
     ibans = _numbers(v, own, lambda x: is_iban(x) | _valid_card(x))
     single = v.rlike("^(?:" + "|".join(PATTERNS[k] for k in own) + ")$") | _valid_card(v)
     return F.when(v.rlike("^[0-9][0-9 -]*$") & ~single, cards).when(v.rlike(f"^(?:{PATTERNS['iban']})$") & ~is_iban(v), ibans).otherwise(F.array(F.struct(v.alias("s"), F.lit(True).alias("try"))))

@@ -21,7 +21,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablebridge.llm.common import free_name
+from tablebridge.llm.common import free_name, let
 
 #: What names a secret, in texts before its value.
 _KEY = r"(?:pass(?:word|wd|phrase)?|pwd|secret|token|(?:api|access|private|auth|signing)[_ -]?key|credentials?|auth(?:orization)?|bearer|signature)"
@@ -39,6 +39,8 @@ CANDIDATE = (
     r"|(?<![A-Za-z0-9_+/.-])(?=[A-Za-z_+/.-]{0,200}[0-9]|A[KS]IA[A-Z0-9]{16})[A-Za-z0-9_+/.-]{12,}+={0,2}"
 )
 CONTEXT = 48
+#: Candidates whose lengths are summed at once.
+_BLOCK = 128
 MASK = "[SECRET]"
 #: Words that say what an identifier or placeholder is for.
 DICTIONARY = "access account address admin alpha beta branch build cache change client code commit config count data date default demo domain dummy email error event example field file folder group host http https image index input insert item json key label latest line list local login lorem main mail master model name node number object order output page part password path phone place holder point port print private project public query release remote report request response sample schema script secret section server service session simple source staging start state status string system table target temp test text time title token type update upload user value version video view week work www your".split()
@@ -262,11 +264,10 @@ def _judged(text: Column, path: Column, forest: Forest) -> tuple[Column, Column]
     """(the text's pieces around candidates, an array of structs: value, at, score)."""
     pieces = F.split(text, CANDIDATE, -1)
     values = F.regexp_extract_all(text, F.lit(CANDIDATE), F.lit(0))
-    # Features are computed once in an inner array; the forest reads them as fields.
-    with_context = F.transform(
-        values,
-        lambda v, i: F.struct(v.alias("value"), F.substring(F.get(pieces, i), -CONTEXT, CONTEXT).alias("before"), F.substring(F.get(pieces, i + 1), 1, 8).alias("after")),
-    )
+    # The pieces are bound to a name, so that a text is split once and not for each candidate. Features are computed once
+    # in an inner array; the forest reads them as fields.
+    context = lambda ps: F.transform(values, lambda v, i: F.struct(v.alias("value"), F.substring(F.get(ps, i), -CONTEXT, CONTEXT).alias("before"), F.substring(F.get(ps, i + 1), 1, 8).alias("after")))
+    with_context = let(pieces, context)
     described = F.transform(with_context, lambda c: F.struct(c["value"].alias("value"), F.struct(*(f.alias(k) for k, f in features(c["value"], c["before"], c["after"], path).items())).alias("f")))
     judged = F.transform(described, lambda c: F.struct(c["value"].alias("value"), forest.expression({k: c["f"][k] for k in forest.names}).alias("score")))
     return pieces, judged
@@ -285,9 +286,21 @@ def findings(docs: DataFrame, forest: Forest | None = None, threshold: float = 0
     # The filter reads the text alone, so that texts without a candidate cost one search.
     some = docs.select(*dict.fromkeys([id_col, text_col] + ([path_col] if path_col else []))).where(F.col(text_col).rlike(CANDIDATE))
     rows = _scanned(some, forest, text_col, path_col)
-    flat = rows.select(id_col, "__tb_pieces", "__tb_judged", F.posexplode("__tb_judged").alias("_k", "_c"))
-    sizes = lambda a, of: F.aggregate(F.slice(a, 1, F.col("_k") + (1 if of is None else 0)), F.lit(0), lambda acc, x: acc + F.length(x if of is None else x[of]))
-    return flat.select(id_col, (sizes(F.col("__tb_pieces"), None) + sizes(F.col("__tb_judged"), "value")).cast("long").alias("at"), F.col("_c.value").alias("value"), F.col("_c.score").alias("score"), (F.col("_c.score") >= threshold).alias("is_secret"))
+    # A candidate starts after the pieces and candidates before it: their lengths are summed by blocks first, so that the
+    # work doesn't grow with the square of a text's candidates.
+    lengths = F.zip_with("__tb_pieces", F.transform("__tb_judged", lambda c: F.length(c["value"])), lambda p, n: F.struct(F.coalesce(F.length(p), F.lit(0)).alias("p"), F.coalesce(n, F.lit(0)).alias("n")))
+    total = lambda part: F.aggregate(part, F.lit(0).cast("long"), lambda t, x: t + x["p"] + x["n"])
+    blocks = F.transform(F.sequence(F.lit(0), F.floor(F.size("__tb_lengths") / _BLOCK).cast("int")), lambda j: total(F.slice("__tb_lengths", j * _BLOCK + 1, F.lit(_BLOCK))))
+
+    def start(k: Column) -> Column:
+        whole = F.floor(k / _BLOCK).cast("int")
+        before = F.aggregate(F.slice("__tb_blocks", F.lit(1), whole), F.lit(0).cast("long"), lambda t, x: t + x)
+        return before + total(F.slice("__tb_lengths", whole * _BLOCK + 1, k % _BLOCK)) + F.get("__tb_lengths", k)["p"]
+
+    placed = rows.withColumn("__tb_lengths", lengths).withColumn("__tb_blocks", blocks)
+    found = F.transform("__tb_judged", lambda c, k: F.struct(start(k).alias("at"), c["value"].alias("value"), c["score"].alias("score")))
+    flat = placed.select(F.col(id_col).alias("__tb_id"), F.explode(found).alias("__tb_c"))
+    return flat.select(F.col("__tb_id").alias(id_col), *(F.col(f"__tb_c.{c}").alias(c) for c in ("at", "value", "score")), (F.col("__tb_c.score") >= threshold).alias("is_secret"))
 
 
 def redact(docs: DataFrame, forest: Forest | None = None, threshold: float = 0.5, text_col: str = "text", path_col: str | None = None, mask: str = MASK, count_col: str = "n_secrets") -> DataFrame:
