@@ -147,7 +147,7 @@ def repeated_windows(docs: DataFrame, length: int, start: int = START) -> tuple[
         return maybe.join(hits, "id")
 
     for short, middle, long in zip(levels, levels[1:], levels[2:], strict=False):
-        hits = _hits(_doubled(with_hits(), short, middle, long))
+        hits = _hits(cut(_doubled(with_hits(), short, middle, long)))
     full = _extended(with_hits(), levels[-2], length)
     first = full.groupBy("k", "low").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first <> last").select(rekeyed("k").alias("key"), F.col("low").alias("key_low"), "first")
     both = full.join(first, (rekeyed("k") == F.col("key")) & (F.col("low") == F.col("key_low")))
