@@ -16,7 +16,8 @@ from tablebridge.llm.common import cut, ensure_checkpoint_dir
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejects documents without letters and those in which no language stands out; texts that mix languages stay."""
+    """Rejects documents without a letter and those that are likelier no learned language at all (other languages, shuffled
+    or random letters) than some; texts that mix learned languages stay."""
     return language_id.keep_identified(docs, queries.language_model(docs.where(queries._fold("doc_id", 4) != 2)))
 
 

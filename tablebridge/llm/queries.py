@@ -41,8 +41,8 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def language_model(docs: DataFrame) -> language_id.ByteNet | None:
-    texts, labels = language_id.labelled_sample(docs)
-    return language_id.train(texts, labels) if texts else None
+    windows, labels = language_id.labelled_windows(docs)
+    return language_id.fit(windows, labels) if labels else None
 
 
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

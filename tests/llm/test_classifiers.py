@@ -39,11 +39,25 @@ def test_odd_languages(odd, empty):
         assert (g.lang_pred == "und") == (not letters) and (letters or g.score == 0)
     assert language_id.predict(empty, net).count() == 0
     assert {r.lang_pred for r in language_id.predict(odd, None).collect()} == {"und"}
-    assert language_id.labelled_sample(empty) == ([], [])
+    assert language_id.labelled_windows(empty)[1] == []
     kept = language_id.keep_identified(odd, net)
     assert kept.columns == odd.columns and kept.where("doc_id in (1, 2, 3, 7)").count() == 0 and kept.where("doc_id = 4").count() in (0, 2)
-    texts, labels = language_id.labelled_sample(odd.withColumn("lang", F.when(F.col("doc_id") == 4, F.lit(None).cast("string")).otherwise(F.col("lang"))))
-    assert "word" not in texts and len(texts) == len(labels)
+    x, labels = language_id.labelled_windows(odd.withColumn("lang", F.when(F.col("doc_id") == 4, F.lit(None).cast("string")).otherwise(F.col("lang"))))
+    assert len(x) == len(labels) <= 4 * 8 and not any(bytes(w).startswith(b"word ") and bytes(w).strip() == b"word" for w in x)
+    nulls = odd.where("doc_id is null")
+    assert language_id.predict(nulls, net).first()["lang_pred"] != "und" and nulls.select((queries._fold("doc_id", 4) == 2).alias("h")).first()["h"] is None
+
+
+def test_every_label_is_learned(spark):
+    rows = spark.range(900).selectExpr("id as doc_id", "concat('l', id % 300) as lang", "repeat(concat('w', id % 300, ' x '), 20) as text")
+    x, labels = language_id.labelled_windows(rows, per_label=3)
+    assert len(set(labels)) == 300 and x.shape[1] == 256
+
+
+def test_long_texts_send_few_windows(spark):
+    rows = spark.range(4).selectExpr("id as doc_id", "'en' as lang", "repeat('the of and ', 200000) as text")
+    x, labels = language_id.labelled_windows(rows)
+    assert len(x) == len(labels) == 16
 
 
 def test_quality_is_learned(spark):
