@@ -2,14 +2,17 @@
 
 * Equal vectors are one vertex; its rows with the smallest ids stand for it, as many as a result can hold.
 * The graph starts from blocks of vectors on the same side of random hyperplanes: each of ``trees``
-  orderings is cut into blocks of ``leaf`` rows, whatever their codes, and searched within.
+  orderings is cut into blocks of ``leaf`` rows, whatever their codes, and searched within. One more
+  ordering is random: its far links keep blocks from being islands that introductions can't leave.
 * NN-descent: every vertex introduces its neighbours, and those it is a neighbour of, to each other.
-  An iteration is a join of the introductions with the vectors and a merge of what improves.
+  An iteration is a join of the introductions with the vectors and a merge of what improves; they end
+  when less than ``delta`` of all list entries changed. The hyperplanes grow with the number of vectors.
 * A search keeps the ``beam`` nearest vertices of each query and expands the nearest unexpanded ones,
-  a join with the graph and one with the vectors for each round, until none is left.
+  a join with the graph and one with the vectors for each round, until none is left to expand.
 
-Graph and search use vectors of one byte a component with a scale for each vector; the distances of
-results are exact, in double precision, on the original vectors.
+Graph and search use vectors of one byte a component with a scale for each vector, relative to the
+largest component of all, so that no magnitude is too small or large; the distances of results are
+exact, in double precision, on the original vectors.
 
 Vectors that are null, zero, or hold null or non-finite components take no part, nor do rows with a null
 id or vectors whose length isn't the most common one. If there are fewer candidates than ``k``, all are
@@ -26,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tablebridge.llm.common import cut, map_arrow
+from tablebridge.llm.common import cut, map_arrow, mix
 
 
 @dataclass(frozen=True)
@@ -34,15 +37,20 @@ class Settings:
     degree: int = 32
     trees: int = 10
     leaf: int = 512
-    bits: int = 16
+    #: Hyperplanes of an ordering beyond those that would leave ``leaf`` vectors on each side of all.
+    spare_bits: int = 4
     #: Introductions for each vertex, of each kind: new and old, its neighbours and those it is a neighbour of.
     sample: int = 16
-    iterations: int = 2
+    #: Iterations end when less than this share of list entries is new; ``iterations`` is a fuse far beyond that.
+    delta: float = 0.005
+    iterations: int = 30
     beam: int = 200
     expand: int = 100
-    rounds: int = 30
     seed: int = 17
 
+    def bits(self, n: int) -> int:
+        return min(60, max(1, -(-n // self.leaf)).bit_length() + self.spare_bits)
+
 
 # ---- vectors
 
@@ -62,8 +70,8 @@ def _matrix(column: pa.Array, dtype) -> np.ndarray:
 
 
 def _packed(m: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    scale = np.abs(m).max(axis=1).astype(np.float32)
-    return np.rint(m / scale[:, None] * 127).astype(np.int8), scale / 127
+    scale = np.abs(m).max(axis=1)
+    return np.rint(m / scale[:, None] * 127).astype(np.int8), (scale / 127).astype(np.float32)
 
 
 def _floats(b: pa.RecordBatch | pa.Table, code: str = "code", scale: str = "scale") -> np.ndarray:
@@ -73,12 +81,13 @@ def _floats(b: pa.RecordBatch | pa.Table, code: str = "code", scale: str = "scal
 
 
 def _coded(rows: DataFrame) -> DataFrame:
-    """id, code binary, scale float."""
+    """id, code binary, scale float (relative to the largest component of all rows)."""
+    top = rows.agg(F.max(F.array_max(F.transform("v", F.abs)))).first()[0]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             if b.num_rows:
-                q, scale = _packed(_matrix(b.column(1), np.float64))
+                q, scale = _packed(_matrix(b.column(1), np.float64) / top)
                 yield pa.RecordBatch.from_arrays([b.column(0), pa.array([x.tobytes() for x in q], pa.binary()), pa.array(scale, pa.float32())], names=["id", "code", "scale"])
 
     return map_arrow(rows.select("id", "v"), run, "id long, code binary, scale float")
@@ -150,26 +159,30 @@ def _merged(lists: DataFrame, k: int) -> DataFrame:
 # ---- the graph
 
 
-def _planes(coded: DataFrame, s: Settings) -> tuple[np.ndarray, np.ndarray]:
+def _planes(coded: DataFrame, s: Settings, bits: int) -> tuple[np.ndarray, np.ndarray]:
     """Hyperplanes midway between pairs of vectors from a sample of at most 2 * trees * bits."""
-    got = coded.orderBy(F.xxhash64(F.lit(s.seed), "id"), "id").limit(2 * s.trees * s.bits).toArrow()
+    got = coded.orderBy(F.xxhash64(F.lit(s.seed), "id"), "id").limit(2 * s.trees * bits).toArrow()
     x = _floats(got)
     rng = np.random.default_rng(s.seed)
-    a, b = x[rng.integers(0, len(x), s.trees * s.bits)], x[rng.integers(0, len(x), s.trees * s.bits)]
+    a, b = x[rng.integers(0, len(x), s.trees * bits)], x[rng.integers(0, len(x), s.trees * bits)]
     return (a - b).T, ((a * a).sum(axis=1) - (b * b).sum(axis=1)) / 2
 
 
 def _first_lists(coded: DataFrame, s: Settings) -> DataFrame:
-    planes, middle = _planes(coded, s)
-    weights = 1 << np.arange(s.bits - 1, -1, -1)
+    bits = s.bits(coded.count())
+    planes, middle = _planes(coded, s, bits)
+    weights = 1 << np.arange(bits - 1, -1, -1)
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for at in range(0, b.num_rows, 2000):
                 c = b.slice(at, 2000)
-                side = ((_floats(c) @ planes) > middle).reshape(c.num_rows, s.trees, s.bits)
+                side = ((_floats(c) @ planes) > middle).reshape(c.num_rows, s.trees, bits)
                 codes = (side * weights).sum(axis=2).astype(np.int64)
-                for t in range(s.trees):
+                ids = c.column(0).to_numpy().astype(np.uint64)
+                with np.errstate(over="ignore"):
+                    codes = np.column_stack([codes, mix(ids + np.uint64(s.seed)).view(np.int64)])
+                for t in range(s.trees + 1):
                     yield pa.RecordBatch.from_arrays([pa.array(np.full(c.num_rows, t, dtype=np.int32)), pa.array(codes[:, t]), *c.columns], names=["tree", "place", "id", "code", "scale"])
 
     placed = map_arrow(coded, place, "tree int, place long, id long, code binary, scale float")
@@ -274,6 +287,10 @@ def build_graph(coded: DataFrame, s: Settings) -> DataFrame:
         found = _met(graph, coded, s, turn)
         kept = graph.withColumn("old", F.transform("old", lambda x: F.lit(True)))
         graph = cut(_merged(kept.unionByName(found), s.degree))
+        fresh = F.sum(F.size(F.filter("old", lambda x: ~x)))
+        new, entries = graph.agg(fresh, F.sum(F.size("old"))).first()
+        if new < s.delta * entries:
+            break
     return graph
 
 
@@ -344,7 +361,7 @@ def search(queries: DataFrame, graph: DataFrame, coded: DataFrame, s: Settings)
                 seen = np.union1d(seen, _short(ids))
             yield _state_row(query, own["code"], own["scale"], state, seen)
 
-    for _ in range(s.rounds):
+    while True:  # a vertex is expanded once at most, and fewer vertices remain to be seen each round
         # The nearest vertices not yet expanded, at most ``expand`` of each query.
         turn = state.select("query", F.slice(F.filter(F.transform("ids", lambda x, i: F.when(~F.get("done", i), x)), lambda x: x.isNotNull()), 1, s.expand).alias("turn"))
         frontier = cut(turn.select("query", F.explode("turn").alias("id")))
@@ -383,7 +400,8 @@ def nearest(vectors: DataFrame, is_query: str, k: int = 10, settings: Settings =
     condition ``is_query`` (on ``id``) holds."""
     s = settings
     rows = cut(clean(vectors, id_col, vector_col).dropDuplicates(["id", "v"]))
-    vertices = rows.groupBy("v").agg(F.min("id").alias("id"))
+    # Written out: used four times, and joins on a vector that many rows have get plain exchanges, which Spark splits.
+    vertices = cut(rows.groupBy("v").agg(F.min("id").alias("id")))
     coded = cut(_coded(vertices))
     if coded.limit(1).count() == 0:
         return rows.select(F.col("id").alias("query_id"), F.lit(1).alias("rank"), F.col("id").alias(id_col), F.lit(0.0).alias("score")).where("false")

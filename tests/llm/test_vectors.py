@@ -3,10 +3,11 @@
 import math
 
 import numpy as np
+import pytest
 
 from tablebridge.llm import ann
 
-SMALL = ann.Settings(degree=8, trees=4, leaf=32, sample=6, iterations=1, beam=40, expand=20)
+SMALL = ann.Settings(degree=8, trees=4, leaf=32, sample=6, beam=40, expand=20)
 
 
 def brute(rows, asked, k):
@@ -32,6 +33,27 @@ def test_recall(spark):
         assert abs(exact - g.score) < 1e-12 and 1 <= g.rank <= 10 and g.vec_id != g.query_id
 
 
+@pytest.mark.parametrize("scale", [1e-60, 1.0, 1e60])
+def test_any_magnitude(spark, scale):
+    r = np.random.default_rng(2)
+    x = r.normal(size=(60, 8)) * scale
+    got = ann.nearest(spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>"), "id in (0, 7, 30)", 3, SMALL).collect()
+    for q in (0, 7, 30):
+        d = sorted((np.sqrt(((x[q] - x[j]) ** 2).sum()), j) for j in range(60) if j != q)[:3]
+        assert [g.vec_id for g in sorted(got, key=lambda g: g.rank) if g.query_id == q] == [j for _, j in d]
+
+
+def test_iterations_end_when_lists_settle(spark, monkeypatch):
+    """From bad beginnings (one ordering, small blocks) NN-descent itself makes the lists good."""
+    r = np.random.default_rng(3)
+    x = r.normal(size=(800, 8)).astype(np.float32)
+    coded = ann._coded(spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id long, v array<double>"))
+    true = [set(np.argsort(((x - v) ** 2).sum(axis=1))[1:9].tolist()) for v in x]
+    share = lambda graph: np.mean([len(true[g.id] & set(g.near[:8])) / 8 for g in graph.collect()])
+    recalls = [share(ann.build_graph(coded, ann.Settings(degree=16, trees=1, leaf=16, spare_bits=1, sample=8, iterations=n))) for n in (0, 2, 30)]
+    assert recalls[0] < 0.3 < recalls[1] < recalls[2] and recalls[2] > 0.95
+
+
 def test_ties_and_groups_of_equal_vectors(spark):
     rows = [(i, [1.0, 0.0]) for i in range(40)] + [(100 + i, [0.0, 1.0]) for i in range(3)] + [(200, [1.0, 1.0]), (200, [1.0, 1.0])]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").withColumnsRenamed({}).selectExpr("*", "1 as id", "2 as score", "3 as v")
