@@ -289,7 +289,7 @@ def build_graph(coded: DataFrame, s: Settings) -> DataFrame:
         graph = cut(_merged(kept.unionByName(found), s.degree))
         fresh = F.sum(F.size(F.filter("old", lambda x: ~x)))
         new, entries = graph.agg(fresh, F.sum(F.size("old"))).first()
-        if new < s.delta * entries:
+        if not entries or new < s.delta * entries:
             break
     return graph
 
