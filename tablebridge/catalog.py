@@ -8,9 +8,13 @@
 
 from __future__ import annotations
 
+import glob
 import json
+import logging
 import os
-from collections.abc import Iterable, Mapping, Sequence
+import shutil
+from collections.abc import Iterable, Iterator, Mapping, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -147,8 +151,9 @@ class Database:
 
     # ---- definitions
 
-    def create_external_table(self, name: str, schema: T.StructType, primary_key: Sequence[str] = (), indexes: str = "", on_conflict: str = "") -> None:
-        """Create a table if it isn't there; if it is, its definition must agree (DuckDB) or is reported (SQLite)."""
+    def create_external_table(self, name: str, schema: T.StructType, primary_key: Sequence[str] = (), indexes: str = "", on_conflict: str = "") -> list[str]:
+        """Create a table if it isn't there; if it is, its columns, key and indexes must agree (DuckDB) or how they differ is
+        returned and logged (SQLite)."""
         if len(parse_reference(name)) > 1:
             raise InvalidOption(f"an external table has a plain name, not {name!r}")
         wanted, key = tuple(parse_indexes(indexes)), tuple(primary_key)
@@ -159,23 +164,42 @@ class Database:
             self.rules[name] = on_conflict
         self.declared[name] = (key, wanted)
         if name in self.tables():
-            self.drift(name, schema, strict=self.system == "duckdb")
-            return
+            found = self.drift(name, schema, strict=self.system == "duckdb")
+            for line in found:
+                logging.getLogger(__name__).warning("%s: %s", name, line)
+            return found
         self.execute(create_table_sql(name, schema, self.system, key))
         for i in wanted:
             self.execute(create_index_sql(name, i, self.system))
+        return []
+
+    def stored_key(self, name: str) -> tuple[tuple[str, ...], tuple[Index, ...]]:
+        """A table's primary key and its other indexes, as the database has them."""
+        if self.system == "sqlite":
+            q_ = self.dialect.quote
+            key = tuple(r[1] for r in sorted((r for r in self.rows(f"PRAGMA table_info({q_(name)})") if r[5]), key=lambda r: r[5]))
+            rows = [r for r in self.rows(f"PRAGMA index_list({q_(name)})") if r[3] == "c"]
+            return key, tuple(Index(tuple(x[2] for x in self.rows(f"PRAGMA index_info({q_(r[1])})")), bool(r[2])) for r in rows)
+        target = self._target(name)
+        keys = self.rows("SELECT constraint_column_names FROM duckdb_constraints() WHERE table_name = ? AND constraint_type = 'PRIMARY KEY'", [target])
+        found = self.rows("SELECT expressions, is_unique FROM duckdb_indexes() WHERE table_name = ?", [target])
+        columns = lambda text: tuple(c.strip().strip("'").strip('"') for c in text.strip("[]").split(","))
+        return tuple(keys[0][0]) if keys else (), tuple(Index(columns(e), bool(u)) for e, u in found)
 
     def drift(self, name: str, schema: T.StructType, strict: bool = False) -> list[str]:
         stored = self.schema(name)
         expected = T.StructType([T.StructField(f.name, stored[f.name].dataType if f.name in stored.names and _same_storage(f.dataType, stored[f.name].dataType) else f.dataType) for f in schema])
-        return drift(expected, stored, strict=strict)
+        (key, indexes), (stored_key, stored_indexes) = self.declared.get(name, ((), ())), self.stored_key(name)
+        return drift(expected, stored, key, stored_key, indexes, stored_indexes, strict=strict)
 
     # ---- writes
 
     def insert(self, name: str, df: DataFrame, mode: str = "append", on_conflict: str | None = None, unique: Iterable[Sequence[str]] = (), on_commit=None) -> int:
         """Write a DataFrame in one transaction; returns the rows given.
 
-        ``append`` adds, ``overwrite`` replaces all rows. Uniqueness of ``unique`` keys is checked over the whole input first.
+        ``append`` adds, ``overwrite`` replaces all rows. Uniqueness of ``unique`` keys is checked over the whole input first,
+        which is one more pass over it. ``on_commit`` gets the connection before the transaction ends; if it raises, nothing
+        is written.
         """
         if not self.read_write:
             raise ReadOnlyTable(f"{name} was opened for reading; set read_write")
@@ -195,30 +219,43 @@ class Database:
             given = nested_to_json(given)
         if self.system == "duckdb":
             return self._insert_duckdb(name, given, mode, rule, on_commit)
-        options = {**self.options, "table": name} | ({"on_conflict": rule} if rule else {})
-        before = given.count()
+        return self._insert_sqlite(name, given, mode, rule, on_commit)
+
+    @contextmanager
+    def _staged(self, df: DataFrame) -> Iterator[list[str]]:
+        """The rows as Parquet files beside the database: one pass over the input, by Spark's own writer."""
+        folder = f"{os.path.abspath(self.options['path'])}.staged_{os.urandom(6).hex()}"
         try:
-            given.write.format(_FORMATS[self.system].name()).options(**options).mode(mode).save()
-        except Exception as e:
-            raise classify(e) from e
-        return before
+            df.write.parquet(folder)
+            yield sorted(glob.glob(f"{folder}/*.parquet"))
+        finally:
+            shutil.rmtree(folder, ignore_errors=True)
+
+    def _insert_sqlite(self, name: str, df: DataFrame, mode: str, rule: str | None, on_commit) -> int:
+        conflict = f" {parse_on_conflict(rule).sql(self.dialect.quote, df.columns)}" if rule else ""
+        with self._staged(df) as paths:
+            c = self._connect(write=True)
+            try:
+                return lite.load_staged(c, name, paths, df.columns, conflict, mode == "overwrite", on_commit)
+            except Exception as e:
+                raise classify(e) from e
+            finally:
+                c.close()
 
     def _insert_duckdb(self, name: str, df: DataFrame, mode: str, rule: str | None, on_commit) -> int:
-        """Rows are staged as Parquet beside the file by Spark's writer and loaded by the driver."""
-        folder = f"{os.path.abspath(self.options['path'])}.staged_{os.urandom(6).hex()}"
         names = ", ".join(map(self.dialect.quote, df.columns))
         conflict = f" {parse_on_conflict(rule).sql(self.dialect.quote, df.columns)}" if rule else ""
         generations = DuckDBGenerations(lambda: self._connect(write=True), name, self.schema(name), *self.declared.get(name, ((), ())))
-        try:
-            df.write.parquet(folder)
-            source = f"SELECT {names} FROM read_parquet({self.dialect.literal(folder + '/*.parquet')})"
+        with self._staged(df) as paths:
+            files = ", ".join(map(self.dialect.literal, paths))
+            source = f"SELECT {names} FROM read_parquet([{files}])" if paths else f"SELECT {names} FROM {self.dialect.quote(name)} WHERE false"
             if mode == "overwrite":
                 return generations.overwrite(lambda c, t: c.execute(f"INSERT INTO {self.dialect.quote(t)} ({names}) {source}").fetchone()[0], on_commit)
             c = self._connect(write=True)
             try:
                 c.execute("BEGIN")
                 try:
-                    n = c.execute(f"SELECT count(*) FROM read_parquet({self.dialect.literal(folder + '/*.parquet')})").fetchone()[0]
+                    n = c.execute(f"SELECT count(*) FROM ({source})").fetchone()[0]
                     c.execute(f"INSERT INTO {self.dialect.quote(generations.current(c))} ({names}) {source}{conflict}")
                     if on_commit is not None:
                         on_commit(c)
@@ -229,10 +266,6 @@ class Database:
                     raise classify(e) from e
             finally:
                 c.close()
-        finally:
-            import shutil
-
-            shutil.rmtree(folder, ignore_errors=True)
 
     def _target(self, name: str) -> str:
         if self.system != "duckdb":

@@ -152,11 +152,8 @@ def swap_file(path: str, build: Callable[[str], None]) -> None:
         now = os.stat(path) if os.path.exists(path) else None
         if (before and (before.st_dev, before.st_ino)) != (now and (now.st_dev, now.st_ino)):
             raise RemoteFailure(f"{path} was replaced by someone else")
-        if now is not None:
-            os.replace(path, f"{path}.previous")
+        # One step: readers find the old file or the new one at any moment.
         os.replace(staged, path)
-        if now is not None:
-            os.remove(f"{path}.previous")
     finally:
         for left in (staged, f"{staged}.wal"):
             if os.path.exists(left):
@@ -164,7 +161,8 @@ def swap_file(path: str, build: Callable[[str], None]) -> None:
 
 
 def recover(path: str) -> str:
-    """After a crash in :func:`swap_file`: the previous file comes back if its successor isn't there; leftovers go."""
+    """After a crash in :func:`swap_file`: staged files go. A ``.previous`` file, of a swap in two steps, comes back if its
+    successor isn't there."""
     did, previous = "nothing", f"{path}.previous"
     if os.path.exists(previous):
         if os.path.exists(path):

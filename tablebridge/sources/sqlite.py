@@ -6,9 +6,10 @@ import datetime as dt
 import decimal
 import json
 import sqlite3
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import types as T
 
 from tablebridge import sqlgen as q
@@ -83,6 +84,20 @@ def _nested(value: object, t: T.DataType) -> object:
     return _to_python(value, t)
 
 
+def _column(values: tuple, t: T.DataType, arrow: pa.DataType) -> pa.Array:
+    """A column of stored values. What SQLite stores as Arrow takes it goes over whole; only what Arrow refuses is converted value by value."""
+    try:
+        if isinstance(t, (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.DoubleType, T.FloatType, T.StringType)):
+            return pa.array(values, arrow)
+        if isinstance(t, T.DateType):
+            return pc.utf8_slice_codeunits(pa.array(values, pa.string()), 0, 10).cast(arrow)
+        if isinstance(t, T.TimestampNTZType):
+            return pa.array(values, pa.string()).cast(arrow)
+    except (pa.ArrowException, TypeError, ValueError, OverflowError):
+        pass
+    return pa.array([_to_python(v, t) for v in values], arrow)
+
+
 def _to_sqlite(value: object) -> object:
     if isinstance(value, bool):
         return int(value)
@@ -97,6 +112,38 @@ def _to_sqlite(value: object) -> object:
     return value
 
 
+def _values(column: pa.Array) -> list:
+    """A column's values as the driver binds them; numbers and text need no conversion."""
+    t = column.type
+    if pa.types.is_integer(t) or pa.types.is_floating(t) or pa.types.is_string(t) or pa.types.is_large_string(t) or pa.types.is_binary(t):
+        return column.to_pylist()
+    return [_to_sqlite(v) for v in column.to_pylist()]
+
+
+def load_staged(c: sqlite3.Connection, table: str, paths: list[str], names: list[str], conflict: str = "", overwrite: bool = False, on_commit: Callable[[sqlite3.Connection], None] | None = None) -> int:
+    """All rows of Parquet files with one prepared statement, in one transaction, in which ``on_commit`` runs last.
+
+    Returns the number of rows given.
+    """
+    d, given = DIALECTS["sqlite"], 0
+    sql = f"INSERT INTO {d.table(table)} ({', '.join(map(d.quote, names))}) VALUES ({', '.join('?' * len(names))}){conflict}"
+    try:
+        c.execute("BEGIN IMMEDIATE")
+        if overwrite:
+            c.execute(f"DELETE FROM {d.table(table)}")
+        for batch in staged_batches(paths):
+            c.executemany(sql, zip(*(_values(batch.column(n)) for n in names), strict=True))
+            given += batch.num_rows
+        if on_commit is not None:
+            on_commit(c)
+        c.execute("COMMIT")
+        return given
+    except BaseException:
+        if c.in_transaction:
+            c.execute("ROLLBACK")
+        raise
+
+
 class SqliteSource(RemoteSource):
     """Options: path, table or query, columns, order_by, limit, partition_column, num_partitions, attach_databases, read_write, on_conflict, staging."""
 
@@ -151,7 +198,7 @@ class SqliteSource(RemoteSource):
                 if not schema.fields:
                     yield pa.RecordBatch.from_struct_array(pa.array([{}] * len(rows), pa.struct([])))
                     continue
-                columns = [pa.array([_to_python(v, f.dataType) for v in col], arrow.field(i).type) for i, (col, f) in enumerate(zip(zip(*rows, strict=True), schema, strict=True))]
+                columns = [_column(col, f.dataType, arrow.field(i).type) for i, (col, f) in enumerate(zip(zip(*rows, strict=True), schema, strict=True))]
                 yield pa.RecordBatch.from_arrays(columns, schema=arrow)
         except sqlite3.Error as e:
             raise classify(e) from None
@@ -160,22 +207,11 @@ class SqliteSource(RemoteSource):
 
     def load(self, paths: list[str], schema: T.StructType, overwrite: bool) -> int:
         """All staged rows with one prepared statement, in one transaction."""
-        d, names = DIALECTS["sqlite"], schema.names
-        conflict = f" {self.conflict.sql(d.quote, names)}" if self.conflict else ""
-        sql = f"INSERT INTO {d.table(self.plain['table'])} ({', '.join(map(d.quote, names))}) VALUES ({', '.join('?' * len(names))}){conflict}"
+        conflict = f" {self.conflict.sql(DIALECTS['sqlite'].quote, schema.names)}" if self.conflict else ""
         c = self._open(read_only=False)
         try:
-            c.execute("BEGIN IMMEDIATE")
-            if overwrite:
-                c.execute(f"DELETE FROM {d.table(self.plain['table'])}")
-            before = c.total_changes
-            for batch in staged_batches(paths):
-                c.executemany(sql, zip(*([_to_sqlite(v) for v in col.to_pylist()] for col in batch.columns), strict=True))
-            c.execute("COMMIT")
-            return c.total_changes - before
+            return load_staged(c, self.plain["table"], paths, schema.names, conflict, overwrite)
         except sqlite3.Error as e:
-            if c.in_transaction:
-                c.execute("ROLLBACK")
             raise classify(e) from None
         finally:
             c.close()

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -44,6 +45,33 @@ def run_to_end(df: DataFrame, mode: str = "complete") -> DataFrame:
     return spark.table(name)
 
 
+def run_to_files(df: DataFrame, folder: str, checkpoint: str) -> None:
+    """All that is there now, in append mode, to Parquet files: results stay off the driver, and state goes when the
+    watermark passes it. Another run with the same checkpoint goes on from there."""
+    q = df.writeStream.format("parquet").option("path", folder).option("checkpointLocation", checkpoint).outputMode("append").trigger(availableNow=True).start()
+    try:
+        q.awaitTermination()
+    finally:
+        q.stop()
+
+
+def append_days(spark: SparkSession, events: DataFrame, folder: str, ts: str = "ts") -> DataFrame:
+    """Counts of whole days of ``events``; the same events come once more when their days are closed, and change nothing."""
+    source, out, checkpoint = (f"{folder}/{n}" for n in ("events", "days", "checkpoint"))
+    events.write.parquet(source)
+
+    def run() -> None:
+        days = events_stream(spark, source, ts, "1 hour").groupBy(tumbling(ts, "1 day").alias("w")).count()
+        run_to_files(days.select(F.col("w.start").cast("timestamp_ntz").alias("start"), F.col("count").alias("n")), out, checkpoint)
+
+    run()
+    closed = events.agg(F.max(ts).alias("last"))
+    late = events.where(F.col(ts) < closed.first()["last"] - dt.timedelta(days=2))
+    late.write.mode("append").parquet(source)
+    run()
+    return spark.read.parquet(out)
+
+
 def upsert_stream(df: DataFrame, write, checkpoint: str):
     """Each micro-batch through ``write(batch, id)``; a batch that is tried again brings the same id."""
     return df.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
