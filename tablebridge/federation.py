@@ -111,17 +111,37 @@ def join(left: RemoteFrame, right: RemoteFrame, pairs: Iterable[tuple[str, str]]
     return l_.join(r, condition, kind)
 
 
+def _mentioned(sql: str, columns: Iterable[str]) -> list[str] | None:
+    """The columns whose names occur in the text, or None (all) where a star may mean them. Names in quoted text only make
+    the list longer."""
+    if re.search(r"(?:select|distinct|,|\.)\s*\*", sql, re.IGNORECASE):
+        return None
+    words = {w.lower() for w in re.findall(r"\w+", sql)}
+    columns = list(columns)
+    return [c for c in columns if c.lower() in words or not c.isidentifier()] or columns[:1]
+
+
 def federate(spark: SparkSession, sql: str, tables: Mapping[str, Database]) -> tuple[DataFrame, int]:
-    """SQL over named remote tables. If all live in one context the text runs there; else each becomes a view and Spark runs it.
+    """SQL over named remote tables. If all live in one context the text runs there; else each becomes a view of the columns
+    that the text names, and Spark runs it. Views of the session that have those names are as they were afterwards.
 
     Returns the result and the number of remote reads.
     """
     contexts = {d.context for d in tables.values()}
     if len(contexts) == 1:
         return next(iter(tables.values())).query(sql), 1
-    for name, d in tables.items():
-        d.table(name).createOrReplaceTempView(name)
-    return spark.sql(sql), len(tables)
+    kept = {name: spark.table(name) for name in tables if any(t.isTemporary and t.name.lower() == name.lower() for t in spark.catalog.listTables())}
+    try:
+        for name, d in tables.items():
+            d.table(name, columns=_mentioned(sql, d.schema(name).names)).createOrReplaceTempView(name)
+        return spark.sql(sql), len(tables)
+    finally:
+        # The plan holds the tables themselves; the names were for the parser.
+        for name in tables:
+            if name in kept:
+                kept[name].createOrReplaceTempView(name)
+            else:
+                spark.catalog.dropTempView(name)
 
 
 # ---- parameterised views

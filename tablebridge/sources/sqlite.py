@@ -86,8 +86,10 @@ def _nested(value: object, t: T.DataType) -> object:
 
 def _column(values: tuple, t: T.DataType, arrow: pa.DataType) -> pa.Array:
     """A column of stored values. What SQLite stores as Arrow takes it goes over whole; only what Arrow refuses is converted value by value."""
+    kinds = set(map(type, values)) - {type(None)}
+    plain = {int} if isinstance(t, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)) else {int, float} if isinstance(t, (T.DoubleType, T.FloatType)) else {str}
     try:
-        if isinstance(t, (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.DoubleType, T.FloatType, T.StringType)):
+        if kinds <= plain and isinstance(t, (T.IntegralType, T.FractionalType, T.StringType)) and not isinstance(t, T.DecimalType):
             return pa.array(values, arrow)
         if isinstance(t, T.DateType):
             return pc.utf8_slice_codeunits(pa.array(values, pa.string()), 0, 10).cast(arrow)
