@@ -247,10 +247,10 @@ def _introductions(graph: DataFrame, s: Settings, turn: int) -> DataFrame:
     return map_arrow(_by(map_arrow(graph, send, "at long, who long, kind tinyint"), "at"), receive, "at long, who long, kind tinyint")
 
 
-def _met(graph: DataFrame, coded: DataFrame, s: Settings, turn: int) -> DataFrame:
+def _met(graph: DataFrame, s: Settings, turn: int) -> DataFrame:
     """Lists of what introductions found, where nearer than a vertex's farthest neighbour."""
-    reach = graph.select("id", F.when(F.size("far") >= s.degree, F.element_at("far", -1)).otherwise(F.lit(float("inf")).cast("float")).alias("reach"))
-    guests = _introductions(graph, s, turn).join(coded.join(reach, "id").withColumnRenamed("id", "who"), "who")
+    reach = F.when(F.size("far") >= s.degree, F.element_at("far", -1)).otherwise(F.lit(float("inf")).cast("float")).alias("reach")
+    guests = _introductions(graph.select("id", "near", "far", "old"), s, turn).join(graph.select(F.col("id").alias("who"), reach, "code", "scale"), "who")
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in _whole(batches, 8000):
@@ -280,16 +280,37 @@ def _met(graph: DataFrame, coded: DataFrame, s: Settings, turn: int) -> DataFram
     return map_arrow(_by(guests.select("at", "who", "kind", "reach", "code", "scale"), "at"), meet, _LISTS)
 
 
+def _improved(graph: DataFrame, found: DataFrame, s: Settings, fresh, entries) -> DataFrame:
+    """The graph's rows with what was found merged into their lists; adds up the new entries and all entries."""
+    none = {"code": F.lit(None).cast("binary"), "scale": F.lit(None).cast("float")}
+    kept = graph.withColumn("old", F.transform("old", lambda x: F.lit(True)))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in _whole(batches, 4000):
+            lists = _lists(*_flat(b), s.degree)
+            own = b.filter(b.column(4).is_valid())
+            at = np.searchsorted(own.column(0).to_numpy(), lists.column(0).to_numpy())
+            old = lists.column(3).flatten()
+            entries.add(len(old))
+            fresh.add(len(old) - (old.true_count or 0))
+            yield pa.RecordBatch.from_arrays([*lists.columns, own.column(4).take(pa.array(at)), own.column(5).take(pa.array(at))], names=[*lists.schema.names, "code", "scale"])
+
+    return map_arrow(_by(kept.unionByName(found.withColumns(none)).select(*_GRAPH), "id"), run, ", ".join(f"{k} {v}" for k, v in _GRAPH.items()))
+
+
+#: A vertex with its list and its vector, so that vectors travel with introductions and not by a join of their own.
+_GRAPH = {"id": "long", "near": "array<long>", "far": "array<float>", "old": "array<boolean>", "code": "binary", "scale": "float"}
+
+
 def build_graph(coded: DataFrame, s: Settings) -> DataFrame:
-    """id, near, far (squared distances), old: the ``degree`` nearest vertices found, nearest first."""
-    graph = cut(_first_lists(coded, s))
+    """id, near, far (squared distances), old, code, scale: the ``degree`` nearest vertices found, nearest first."""
+    graph = cut(_first_lists(coded, s).join(coded, "id").select(*_GRAPH))
+    context = coded.sparkSession.sparkContext
     for turn in range(s.iterations):
-        found = _met(graph, coded, s, turn)
-        kept = graph.withColumn("old", F.transform("old", lambda x: F.lit(True)))
-        graph = cut(_merged(kept.unionByName(found), s.degree))
-        fresh = F.sum(F.size(F.filter("old", lambda x: ~x)))
-        new, entries = graph.agg(fresh, F.sum(F.size("old"))).first()
-        if not entries or new < s.delta * entries:
+        # Tasks that run twice count twice, which can only make an iteration look unsettled.
+        fresh, entries = context.accumulator(0), context.accumulator(0)
+        graph = cut(_improved(graph, _met(graph, s, turn), s, fresh, entries))
+        if fresh.value <= s.delta * entries.value:
             break
     return graph
 
