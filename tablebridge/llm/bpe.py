@@ -62,12 +62,15 @@ class ByteBPE:
             newest = ab
             self.merged[a, b] = ab
             self.left[ab], self.right[ab] = a, b
+        self._shorter: dict[int, int] = {}
+        self._fits: dict[int, bool] = {}
+        # A token whose text other merges would take apart is in no encoding: the encoders must not know it.
+        whole = self._whole()
+        self.ids = {t: i for t, i in self.ids.items() if i in whole}
         self.matcher = ahocorasick.Automaton()
         for t, i in self.ids.items():
             self.matcher.add_word(t, (i, len(t)))
         self.matcher.make_automaton()
-        self._shorter: dict[int, int] = {}
-        self._fits: dict[int, bool] = {}
         self._split = regex.compile(SPLIT)
         self._gap = regex.compile(r" (?=\s)")
         self._specials = regex.compile("|".join(map(regex.escape, sorted(self.special, key=len, reverse=True)))) if self.special else None
@@ -93,10 +96,18 @@ class ByteBPE:
             known = self._fits[a << 20 | b] = self._check(a, b)
         return known
 
-    def _check(self, a: int, b: int) -> bool:
+    def _whole(self) -> set[int]:
+        """The tokens that encode to themselves: single bytes, and merges of two such whose border no earlier merge crosses."""
+        out = {i for t, i in self.ids.items() if len(t) == 1}
+        for (a, b), ab in self.merged.items():
+            if a in out and b in out and self._check(a, b, ab):
+                out.add(ab)
+        return out
+
+    def _check(self, a: int, b: int, bound: int | None = None) -> bool:
         # A merge across the border happens if its id is below those of the merges that made its ends
         # what they are. Undo the younger end first; what was undone last bounds the merges that count.
-        bound = len(self.tokens)
+        bound = len(self.tokens) if bound is None else bound
         while True:
             across = self.merged.get((a, b))
             if across is not None and across < bound:
