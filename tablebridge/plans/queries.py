@@ -693,19 +693,19 @@ def roundtrip_types(s, d):
 @query("SELECT time_bucket(INTERVAL 1 HOUR, ts) AS start, event_type, count(*) AS n FROM events GROUP BY ALL")
 def stream_tumbling(s, d):
     e = streaming.events_stream(s, f"{d}/events.parquet").groupBy(streaming.tumbling("ts", "1 hour").alias("w"), "event_type").count()
-    return streaming.run_to_end(e).select(F.col("w.start").cast("timestamp_ntz").alias("start"), "event_type", F.col("count").alias("n"))
+    return streaming.run_to_end(e, os.path.join(folder(d), "streams")).select(F.col("w.start").cast("timestamp_ntz").alias("start"), "event_type", F.col("count").alias("n"))
 
 
 @query("SELECT time_bucket(INTERVAL 30 MINUTE, ts) - o.k * INTERVAL 30 MINUTE AS start, count(*) AS n FROM events, (SELECT unnest([0, 1]) AS k) o GROUP BY ALL")
 def stream_sliding(s, d):
     e = streaming.events_stream(s, f"{d}/events.parquet").groupBy(streaming.sliding("ts", "1 hour", "30 minutes").alias("w")).count()
-    return streaming.run_to_end(e).select(F.col("w.start").cast("timestamp_ntz").alias("start"), F.col("count").alias("n"))
+    return streaming.run_to_end(e, os.path.join(folder(d), "streams")).select(F.col("w.start").cast("timestamp_ntz").alias("start"), F.col("count").alias("n"))
 
 
 @query("SELECT user_id, min(ts) AS start, count(*) AS n FROM (SELECT *, sum(CASE WHEN before IS NULL OR ts - before > INTERVAL 2 HOUR THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS k FROM (SELECT *, lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS before FROM events)) GROUP BY user_id, k")
 def stream_session(s, d):
     e = streaming.events_stream(s, f"{d}/events.parquet").groupBy(streaming.session("ts", "2 hours").alias("w"), "user_id").count()
-    return streaming.run_to_end(e).select("user_id", F.col("w.start").cast("timestamp_ntz").alias("start"), F.col("count").alias("n"))
+    return streaming.run_to_end(e, os.path.join(folder(d), "streams")).select("user_id", F.col("w.start").cast("timestamp_ntz").alias("start"), F.col("count").alias("n"))
 
 
 @query("SELECT time_bucket(INTERVAL 1 DAY, ts) AS start, count(*) AS n FROM events GROUP BY 1 HAVING start + INTERVAL 1 DAY <= (SELECT max(ts) - INTERVAL 1 HOUR FROM events)")

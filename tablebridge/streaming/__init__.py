@@ -34,15 +34,22 @@ def session(ts: str, gap: str) -> Column:
     return F.session_window(ts, gap)
 
 
-def run_to_end(df: DataFrame, mode: str = "complete") -> DataFrame:
-    """Everything that is there now, through the stream's own plan, as a DataFrame: for tests and back-fills."""
-    spark, name = df.sparkSession, f"stream_{uuid.uuid4().hex}"
-    q = df.writeStream.format("memory").queryName(name).outputMode(mode).trigger(availableNow=True).start()
+def run_to_end(df: DataFrame, folder: str, mode: str = "complete") -> DataFrame:
+    """Everything that is there now, through the stream's own plan, as a DataFrame: for tests and back-fills.
+
+    Results are Parquet files under ``folder``, to which a batch adds or, in complete mode, whose place it takes; nothing
+    comes to the driver.
+    """
+    out = f"{folder}/{uuid.uuid4().hex}"
+    if mode == "append":
+        run_to_files(df, f"{out}/rows", f"{out}/checkpoint")
+        return df.sparkSession.read.schema(df.schema).parquet(f"{out}/rows")
+    q = df.writeStream.foreachBatch(lambda batch, _: batch.write.mode("overwrite").parquet(f"{out}/rows")).option("checkpointLocation", f"{out}/checkpoint").outputMode(mode).trigger(availableNow=True).start()
     try:
         q.awaitTermination()
     finally:
         q.stop()
-    return spark.table(name)
+    return df.sparkSession.read.schema(df.schema).parquet(f"{out}/rows")
 
 
 def run_to_files(df: DataFrame, folder: str, checkpoint: str) -> None:

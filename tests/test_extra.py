@@ -44,7 +44,7 @@ def test_unbounded_endpoints(spark, tmp_path):
         pq.write_table(pa.table({"x": [i]}), tmp_path / f"{i}.parquet")
     ends = json.dumps([{"ticket": f"{i}.parquet", "locations": [str(tmp_path)]} for i in range(2)])
     stream = spark.readStream.format("tablebridge_endpoints").options(endpoints=ends, unbounded="true").load()
-    assert sorted(r.x for r in streaming.run_to_end(stream, "append").collect()) == [0, 1]
+    assert sorted(r.x for r in streaming.run_to_end(stream, str(tmp_path / "out"), "append").collect()) == [0, 1]
 
 
 def test_events_stream_reads_folders_and_files(spark, tmp_path):
@@ -54,5 +54,5 @@ def test_events_stream_reads_folders_and_files(spark, tmp_path):
     (part,) = (tmp_path / "one").glob("part-*.parquet")
     part.rename(tmp_path / "events.parquet")
     for path in (tmp_path / "many" / "events.parquet", tmp_path / "events.parquet"):
-        got = streaming.run_to_end(streaming.events_stream(spark, str(path)), "append")
+        got = streaming.run_to_end(streaming.events_stream(spark, str(path)), str(tmp_path / "out"), "append")
         assert sorted(r.id for r in got.collect()) == list(range(100))
