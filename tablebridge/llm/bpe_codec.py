@@ -1,8 +1,9 @@
 """Byte-level BPE encoding by backtracking over longest matches, and decoding from an offset table.
 
 Null and empty texts encode to no tokens and decode to the empty text. Special strings inside a text
-become their special token, as the library's default has it. Repeated rows are encoded alike; extra
-columns are not looked at; an empty table gives an empty result.
+become their special token, as the library's default has it. Very long texts are encoded whole, word by
+word. Repeated rows are encoded alike; there are no ties, as an encoding is unique; extra columns are not
+looked at; an empty table gives an empty result.
 """
 
 from __future__ import annotations

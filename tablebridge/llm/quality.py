@@ -6,7 +6,9 @@ the one before. Each n-gram is hashed to one of 2**bits weights; the score is th
 sparse dot product whose values are the n-grams' shares of their stream, so long and short texts compare.
 
 Null and empty texts, and texts of white space, have no n-grams and score the bias alone. Without
-labelled rows every text scores 0.5. Labelled rows with a null label don't count; repeated rows do each time.
+labelled rows every text scores 0.5. Labelled rows with a null label or id don't count; repeated rows do each
+time. Rows with a null id are scored like any other. Very long texts are read whole; a labelled one brings
+at most one number for each of the 2**bits weights. A score of 0.5 predicts 1. Extra columns aren't looked at.
 """
 
 from __future__ import annotations

@@ -35,6 +35,7 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row with a null doc_id has a null held_out and takes no part in training."""
     docs = _table(spark, sf_dir, "documents")
     net = language_model(docs.where(_fold("doc_id", 4) != 2))
     return language_id.predict(docs, net).withColumn("held_out", _fold("doc_id", 4) == 2).select("doc_id", "held_out", "lang_pred", "score")
@@ -46,6 +47,7 @@ def language_model(docs: DataFrame) -> language_id.ByteNet | None:
 
 
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row with a null doc_id has a null held_out; labels with one take no part in training."""
     docs = _table(spark, sf_dir, "documents")
     model = quality.fit(docs, _table(spark, sf_dir, "labels").where(_fold("doc_id", 3) != 1))
     scored = quality.score(docs, model)

@@ -6,7 +6,9 @@ words. It is trained in numpy on labelled findings (values with context, true or
 come from the same expressions, and becomes one CASE expression; scans run no Python.
 
 Null and empty texts have no findings. A null path counts as an empty one. Repeated rows are scanned
-alike; a secret that occurs twice is two findings. Extra columns pass through :func:`redact`.
+alike; a secret that occurs twice is two findings. A score equal to the threshold is a secret. Very long
+texts are scanned whole: they are split once, and work grows with their length and candidates. A token
+without a digit is a candidate only if it is assigned or has a known head. Extra columns pass through :func:`redact`, whatever their names.
 """
 
 from __future__ import annotations
@@ -36,7 +38,7 @@ CANDIDATE = (
     r"|(?<=[=:][\"']|[=:]\s{1,3}[\"'])[^\s\"']{6,}+(?=[\"'])"
     rf"|(?<=[=:>][ \t]{{0,3}}[\"']?){_ASSIGNED}[\"']?)(?!(?i:bearer|basic)\b)[^\s\"'=:]{{5,}}[A-Za-z0-9_+/]={{0,2}}"
     r"|(?<=[=:])[^\s\"'=:]{5,}[A-Za-z0-9_+/]"
-    r"|(?<![A-Za-z0-9_+/.-])(?=[A-Za-z_+/.-]{0,200}[0-9]|A[KS]IA[A-Z0-9]{16})[A-Za-z0-9_+/.-]{12,}+={0,2}"
+    r"|(?<![A-Za-z0-9_+/.-])(?=[A-Za-z_+/.-]*+[0-9]|A[KS]IA[A-Z0-9]{16})[A-Za-z0-9_+/.-]{12,}+={0,2}"
 )
 CONTEXT = 48
 #: Candidates whose lengths are summed at once.

@@ -3,7 +3,9 @@
 Every prefix of a text has an exact token count; the counts answer truncation and budget questions
 without encoding again. Null and empty texts count zero tokens and have the one prefix of length 0.
 Special strings inside a text count as one token each, as the library's default has it. Repeated
-rows each get their row; extra columns are not looked at, and an empty table gives an empty result.
+rows each get their row; extra columns are not looked at, and an empty table gives an empty result. Very
+long texts are counted whole, word by word; only :func:`prefix_token_counts` holds a number for each
+character. There are no ties: an encoding is unique.
 """
 
 from __future__ import annotations
