@@ -10,6 +10,7 @@ import tempfile
 from pyspark.sql import DataFrame, SparkSession
 
 from tablebridge.catalog import Database, open_database
+from tablebridge.errors import BridgeError
 from tablebridge.options import Index
 
 _MADE: dict[str, str] = {}
@@ -21,10 +22,23 @@ def parquet(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _shared() -> str | None:
+    """Where all executors see files: a mounted spark.checkpoint.dir; on one machine its own temporary folder will do."""
+    spark = SparkSession.getActiveSession()
+    path = spark.conf.get("spark.checkpoint.dir", None) if spark else None
+    if path and (path.startswith("/") or path.startswith("file:")):
+        path = "/" + path.removeprefix("file:").lstrip("/")
+        os.makedirs(path, exist_ok=True)
+        return path
+    if spark and spark.sparkContext.master.split("[")[0] != "local":
+        raise BridgeError("database files need a mounted folder that all executors share: set spark.checkpoint.dir to one")
+    return None
+
+
 def folder(sf_dir: str) -> str:
     """A scratch folder of this process for an input folder; it goes when the process ends."""
     if sf_dir not in _MADE:
-        _MADE[sf_dir] = tempfile.mkdtemp(prefix="tablebridge-")
+        _MADE[sf_dir] = tempfile.mkdtemp(prefix="tablebridge-", dir=_shared())
         atexit.register(shutil.rmtree, _MADE[sf_dir], True)
     return _MADE[sf_dir]
 

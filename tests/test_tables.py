@@ -60,6 +60,13 @@ def test_filters_reach_the_database(db):
     assert "Filter (" not in plan and "Filter isnotnull" not in plan
 
 
+def test_patterns_reach_the_database(db):
+    df = db.table("t").where("name like '\\%x%' or startswith(name, 'A') or endswith(name, \"d\")")
+    assert sorted(r.id for r in df.collect()) == [3, 4]
+    starts = db.table("t").where("startswith(name, 'c')")
+    assert [r.id for r in starts.collect()] == [3] and "StartsWith" not in starts._jdf.queryExecution().executedPlan().toString().split("BatchScan")[0]
+
+
 def test_writes(db, spark):
     more = spark.createDataFrame([(5, "e", 5.0)], SCHEMA)
     assert db.insert("t", more) == 1 and db.table("t").count() == 5
