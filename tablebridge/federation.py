@@ -111,6 +111,50 @@ def join(left: RemoteFrame, right: RemoteFrame, pairs: Iterable[tuple[str, str]]
     return l_.join(r, condition, kind)
 
 
+def federated_join(frames: Mapping[str, RemoteFrame], pairs: Iterable[tuple[tuple[str, str], tuple[str, str]]], columns: Iterable[tuple[str, str]]) -> tuple[DataFrame, int]:
+    """An inner join of any number of frames, split by context: frames of one context that pairs connect become one remote
+    query, which brings only the columns that are asked for or joined on elsewhere; Spark joins the results.
+
+    ``pairs``: ((frame, column), (frame, column)) that must be equal; ``columns``: (frame, column) of the result, under the
+    column's name. Returns the result and the number of remote reads. Frames that no pair connects are refused, as a cross
+    join would follow.
+    """
+    pairs, columns = list(pairs), list(columns)
+    group = {n: n for n in frames}
+    for (a, _), (b, _) in pairs:
+        if frames[a].context == frames[b].context and group[a] != group[b]:
+            group = {n: group[a] if g == group[b] else g for n, g in group.items()}
+    across = [p for p in pairs if group[p[0][0]] != group[p[1][0]]]
+    wanted = list(dict.fromkeys([*columns, *(side for p in across for side in p)]))
+    reads = {g: _group_query([n for n in frames if group[n] == g], frames, pairs, [c for c in wanted if group[c[0]] == g]) for g in dict.fromkeys(group.values())}
+    named = lambda side: F.col(f"`{side[0]}__{side[1]}`")
+    first, *left = reads
+    out, done = reads[first], {first}
+    while left:
+        ready = next((g for g in left if any({group[a[0]], group[b[0]]} <= done | {g} and g in (group[a[0]], group[b[0]]) for a, b in across)), None)
+        if ready is None:
+            raise InvalidOption(f"nothing joins {', '.join(sorted(left))} with the rest")
+        done.add(ready)
+        on = [named(a) == named(b) for a, b in across if ready in (group[a[0]], group[b[0]]) and {group[a[0]], group[b[0]]} <= done]
+        out = out.join(reads[ready], on)
+        left.remove(ready)
+    return out.select(*(named(c).alias(c[1]) for c in columns)), len(reads)
+
+
+def _group_query(names: list[str], frames: Mapping[str, RemoteFrame], pairs: list, wanted: list[tuple[str, str]]) -> DataFrame:
+    """Frames of one context as one remote query."""
+    source_of = lambda n: q.Aliased(frames[n].select if _shaped(frames[n].select) else frames[n].select.source, n)
+    first, *left = names
+    source, done = source_of(first), {first}
+    while left:
+        n = next(n for n in left if any(n in (a[0], b[0]) and {a[0], b[0]} <= done | {n} for a, b in pairs))
+        done.add(n)
+        on = [q.Binary("=", q.Column(a[1], a[0]), q.Column(b[1], b[0])) for a, b in pairs if n in (a[0], b[0]) and {a[0], b[0]} <= done]
+        source = q.Join("inner", source, source_of(n), q.all_of(on))
+        left.remove(n)
+    return frames[first].database.query(q.Select(source, tuple((q.Column(c, n), f"{n}__{c}") for n, c in wanted)))
+
+
 def _mentioned(sql: str, columns: Iterable[str]) -> list[str] | None:
     """The columns whose names occur in the text, or None (all) where a star may mean them. Names in quoted text only make
     the list longer."""

@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from tablebridge import sqlgen as q
 from tablebridge import streaming
-from tablebridge.federation import RemoteFrame, bind_parameters, federate, join
+from tablebridge.federation import RemoteFrame, bind_parameters, federate, federated_join, join
 from tablebridge.functions import dot, money, norm
 from tablebridge.operators import merge
 from tablebridge.operators.asof import asof_join, range_join
@@ -274,6 +274,16 @@ def federated_sql(s, d):
     return federate(s, "SELECT o_orderkey, n_name FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON n_nationkey = c_nationkey", {"orders": sales, "customer": sales, "nation": ref})[0]
 
 
+@query("SELECT o_orderkey, n_name, r_name FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON n_nationkey = c_nationkey JOIN region ON r_regionkey = n_regionkey WHERE o_totalprice > 100000")
+def federated_split(s, d):
+    """Four tables in two databases: one remote join in each, and one join in Spark."""
+    sales, ref = database(s, d, "sales"), database(s, d, "reference")
+    frames = {n: RemoteFrame.table(sales if n in ("orders", "customer") else ref, n) for n in ("orders", "customer", "nation", "region")}
+    frames["orders"] = frames["orders"].where(q.Binary(">", q.Column("o_totalprice"), q.Literal(100000)))
+    pairs = [(("orders", "o_custkey"), ("customer", "c_custkey")), (("customer", "c_nationkey"), ("nation", "n_nationkey")), (("nation", "n_regionkey"), ("region", "r_regionkey"))]
+    return federated_join(frames, pairs, [("orders", "o_orderkey"), ("nation", "n_name"), ("region", "r_name")])[0]
+
+
 @query("SELECT o_orderkey FROM orders WHERE o_custkey IN (SELECT c_custkey FROM customer WHERE c_acctbal > 9000)")
 def subquery_in(s, d):
     database(s, d, "sales").create_views("sales_")

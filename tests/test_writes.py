@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 
 from tablebridge import streaming
 from tablebridge.catalog import open_database
-from tablebridge.errors import SchemaMismatch
+from tablebridge.errors import InvalidOption, SchemaMismatch
 from tablebridge.federation import federate
 from tablebridge.operators.generations import swap_file
 from tablebridge.plans import queries
@@ -99,6 +99,19 @@ def test_federated_reads_name_their_columns(spark):
     assert federate(spark, "SELECT count(*) AS n FROM orders", {"orders": sales})[1] == 1
 
 
+def test_joins_are_split_by_context(spark, monkeypatch):
+    from tablebridge.catalog import Database
+    from tablebridge.federation import RemoteFrame, federated_join
+
+    sent, ask = [], Database.query
+    monkeypatch.setattr(Database, "query", lambda self, select: sent.append(select if isinstance(select, str) else select.sql(self.dialect)) or ask(self, select))
+    assert queries.federated_split(spark, SF_DIR).count() > 0 and len(sent) == 2
+    assert 'INNER JOIN "customer"' in sent[0] and 'INNER JOIN "region"' in sent[1] and "c_name" not in "".join(sent)
+    sales = queries.database(spark, SF_DIR, "sales")
+    with pytest.raises(InvalidOption):
+        federated_join({"a": RemoteFrame.table(sales, "orders"), "b": RemoteFrame.table(queries.database(spark, SF_DIR, "reference"), "nation")}, [], [("a", "o_orderkey")])
+
+
 def test_aggregates_run_in_the_database(spark):
     df = queries.jdbc_agg_pushdown(spark, SF_DIR)
     assert "PushedAggregates: [COUNT(*)" in df._jdf.queryExecution().executedPlan().toString() or "PushedAggregates" in df._jdf.queryExecution().executedPlan().toString()
