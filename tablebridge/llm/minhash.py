@@ -141,16 +141,6 @@ def signatures(docs: DataFrame, s: Settings, id_col: str, text_col: str) -> Data
     return map_arrow(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")), run, "id long, n long, key1 long, key2 long, signature binary, bands array<long>")
 
 
-def shingle_sets(docs: DataFrame, s: Settings) -> DataFrame:
-    """id, shingles (the sorted hashes as bytes)."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in pieces(batches):
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([shingles(t, s.words).tobytes() for t in b.column(1).to_pylist()], pa.binary())], names=["id", "shingles"])
-
-    return map_arrow(docs, run, "id long, shingles binary")
-
-
 class _Forest:
     def __init__(self, n: int) -> None:
         self.up = list(range(n))
@@ -193,7 +183,7 @@ def _links(s: Settings, ids: list[int], sigs: np.ndarray, sets: list[np.ndarray]
             maybe |= sizes[begin:] <= s.small
         # Sets whose sizes are too far apart can't reach the threshold.
         low, high = np.minimum(sizes[i], sizes[begin:]), np.maximum(sizes[i], sizes[begin:])
-        likely = begin + np.flatnonzero(maybe & (100 * low >= s.percent * high))
+        likely = begin + np.flatnonzero(maybe & (low > 0) & (100 * low >= s.percent * high))
         likely = [int(j) for j in likely if forest.find(int(j)) != forest.find(i)]
         for at in range(0, len(likely), 64):
             part = [j for j in likely[at : at + 64] if forest.find(j) != forest.find(i)]
@@ -205,7 +195,7 @@ def _links(s: Settings, ids: list[int], sigs: np.ndarray, sets: list[np.ndarray]
 
 
 def _rows(t: pa.Table, s: Settings) -> tuple[list[int], np.ndarray, list[np.ndarray]]:
-    return t["id"].to_pylist(), unpack(t["signature"].to_pylist(), s), [np.frombuffer(x, dtype=np.uint64) for x in t["shingles"].to_pylist()]
+    return t["id"].to_pylist(), unpack(t["signature"].to_pylist(), s), [shingles(x, s.words) for x in t["text"].to_pylist()]
 
 
 def _edges(pairs: list[tuple[int, int]], kind: list[int], where: tuple) -> pa.RecordBatch:
@@ -221,7 +211,7 @@ _LINK, _TIED, _LOOSE = 0, 1, 2
 def _inside(rows: DataFrame, s: Settings) -> DataFrame:
     """Links in each (cluster, block), and of clusters with several blocks which hub of the lowest rank a document is tied to.
 
-    rows: cluster, block, blocks, hub (its rank, or 0), guest (whether it is there as a hub only), id, signature, shingles.
+    rows: cluster, block, blocks, hub (its rank, or 0), guest (whether it is there as a hub only), id, signature, text.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -240,17 +230,17 @@ def _inside(rows: DataFrame, s: Settings) -> DataFrame:
                 found += [_LOOSE if h is None else _TIED for _, h in own]
             yield _edges(links, found, where)
 
-    return map_arrow(rows.repartition("cluster", "block").sortWithinPartitions("cluster", "block", "id").select("cluster", "block", "blocks", "hub", "guest", "id", "signature", "shingles"), run, _EDGES)
+    return map_arrow(rows.repartition("cluster", "block").sortWithinPartitions("cluster", "block", "id").select("cluster", "block", "blocks", "hub", "guest", "id", "signature", "text"), run, _EDGES)
 
 
 def _visits(rows: DataFrame, guests: DataFrame, s: Settings) -> DataFrame:
-    """Links between guests and the block they visit. rows: of blocks; guests: cluster, block, chunk, id, signature, shingles.
+    """Links between guests and the block they visit. rows: of blocks; guests: cluster, block, chunk, id, signature, text.
 
     Guests come in chunks, each of which meets its own copy of the block's rows.
     """
     chunks = guests.select("cluster", "block", "chunk").distinct()
-    hosts = rows.join(chunks, ["cluster", "block"]).select("cluster", "block", "chunk", F.lit(1).alias("host"), "id", "signature", "shingles")
-    both = guests.select("cluster", "block", "chunk", F.lit(0).alias("host"), "id", "signature", "shingles").unionByName(hosts)
+    hosts = rows.join(chunks, ["cluster", "block"]).select("cluster", "block", "chunk", F.lit(1).alias("host"), "id", "signature", "text")
+    both = guests.select("cluster", "block", "chunk", F.lit(0).alias("host"), "id", "signature", "text").unionByName(hosts)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for where, t in groups(batches, 3):
@@ -286,10 +276,10 @@ def _representative_links(texts: DataFrame, reps: DataFrame, s: Settings) -> Dat
     sizes = clusters.groupBy("cluster").agg(needed.alias("blocks")).select(rekeyed("cluster").alias("key"), "blocks")
     placed = cut(clusters.join(sizes, rekeyed("cluster") == F.col("key")).select("id", "cluster", "blocks", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int").alias("block")))
 
-    def with_sets(rows: DataFrame) -> DataFrame:
+    def with_texts(rows: DataFrame) -> DataFrame:
+        # Texts travel, as hashes of their shingles wouldn't compress; blocks make the sets anew.
         maybe, _ = split_by_bitmap(texts, "id", id_bitmap(rows, "id"))
-        sets = shingle_sets(maybe.select("id", "text"), s)
-        return rows.join(reps.select("id", "signature"), "id").join(sets, "id")
+        return rows.join(reps.select("id", "signature"), "id").join(maybe.select("id", "text"), "id")
 
     large = placed.where("blocks > 1")
     some = large.limit(1).count() > 0
@@ -303,7 +293,7 @@ def _representative_links(texts: DataFrame, reps: DataFrame, s: Settings) -> Dat
         guests = there.select("id", "cluster", "blocks", F.col("to").alias("block"), "hub", (F.col("to") != F.col("block")).alias("guest"))
         small = placed.where("blocks = 1").withColumns({"hub": F.lit(0), "guest": F.lit(False)})
         plain = small.unionByName(large.join(hubs, "id", "left_anti").withColumns({"hub": F.lit(0), "guest": F.lit(False)})).unionByName(guests)
-    first = cut(_inside(with_sets(plain), s))
+    first = cut(_inside(with_texts(plain), s))
     links = first.where(f"kind = {_LINK}").select("a", "b")
     if not some:
         return links
@@ -318,8 +308,10 @@ def _representative_links(texts: DataFrame, reps: DataFrame, s: Settings) -> Dat
     travel = cut(outside.join(visits, "id").select("cluster", "id", "block", F.explode("to").alias("to")).where("to <> block").select("cluster", "id", "to"))
     spread = travel.groupBy("cluster", "to").count().select(rekeyed("cluster").alias("key"), F.col("to").alias("key_to"), F.ceil(F.col("count") / s.block).cast("int").alias("chunks"))
     going = travel.join(spread, (rekeyed("cluster") == F.col("key")) & (F.col("to") == F.col("key_to"))).select("id", "to", "chunks")
-    rows = cut(with_sets(large).select("cluster", "blocks", "block", "id", "signature", "shingles"))
-    guests = rows.select("cluster", "id", "signature", "shingles").join(going, "id").select("cluster", F.col("to").alias("block"), F.pmod(F.xxhash64("id", F.lit(2)), F.col("chunks")).cast("int").alias("chunk"), "id", "signature", "shingles")
+    # Hosts are those who share a band key with someone who travels.
+    near = large.join(reps.select("id", "bands"), "id").select("id", F.explode("bands").alias("band")).join(own.select("band").distinct(), "band", "left_semi").select("id").distinct()
+    rows = cut(with_texts(large.join(near, "id", "left_semi")).select("cluster", "block", "id", "signature", "text"))
+    guests = rows.select("cluster", "id", "signature", "text").join(going, "id").select("cluster", F.col("to").alias("block"), F.pmod(F.xxhash64("id", F.lit(2)), F.col("chunks")).cast("int").alias("chunk"), "id", "signature", "text")
     return links.unionByName(cut(_visits(rows, guests, s)).select("a", "b"))
 
 
