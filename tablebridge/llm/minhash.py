@@ -285,8 +285,12 @@ def _representative_links(texts: DataFrame, reps: DataFrame, s: Settings) -> Dat
     some = large.limit(1).count() > 0
     plain = placed.withColumns({"hub": F.lit(0), "guest": F.lit(False)})
     if some:
-        # The documents that most others share a bucket with; Spark limits the ranks before it shuffles them.
-        known = star.groupBy(F.col("b").alias("id")).count().join(large, "id")
+        # The first documents of the buckets with the most others; buckets lie within clusters, so those of large ones tell.
+        # Spark limits the ranks before it shuffles them.
+        banded_large = cut(large.join(reps.select("id", "bands"), "id").select("id", "block", "bands"))
+        apart = banded_large.select("id", "block", F.explode("bands").alias("band"))
+        others = apart.groupBy("band").agg(F.min("id").alias("id"), (F.count(F.lit(1)) - 1).alias("n")).where("n > 0")
+        known = others.groupBy("id").agg(F.sum("n").alias("count")).join(large, "id")
         order = Window.partitionBy("cluster").orderBy(F.desc("count"), "id")
         hubs = cut(known.withColumn("hub", F.row_number().over(order)).where(F.col("hub") <= s.hubs).select("id", "hub"))
         there = large.join(hubs, "id").withColumn("to", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
@@ -302,14 +306,14 @@ def _representative_links(texts: DataFrame, reps: DataFrame, s: Settings) -> Dat
     away = tied.join(main.select(F.col("main").alias("hub")), "hub", "left_anti").select("id").union(first.where(f"kind = {_LOOSE}").select("a"))
     # Who travels goes where a band key of its own is, found from lists of blocks that are as long as a cluster has blocks.
     outside = cut(large.join(away.distinct(), "id"))
-    holds = large.join(reps.select("id", "bands"), "id").select("block", F.explode("bands").alias("band")).groupBy("band").agg(F.collect_set("block").alias("to")).where("size(to) > 1").select(rekeyed("band").alias("key"), "to")
-    own = outside.join(reps.select("id", "bands"), "id").select("id", F.explode("bands").alias("band"))
+    holds = apart.groupBy("band").agg(F.collect_set("block").alias("to")).where("size(to) > 1").select(rekeyed("band").alias("key"), "to")
+    own = banded_large.join(outside.select("id"), "id", "left_semi").select("id", F.explode("bands").alias("band"))
     visits = own.join(holds, rekeyed("band") == F.col("key")).groupBy("id").agg(F.array_distinct(F.flatten(F.collect_set("to"))).alias("to"))
     travel = cut(outside.join(visits, "id").select("cluster", "id", "block", F.explode("to").alias("to")).where("to <> block").select("cluster", "id", "to"))
     spread = travel.groupBy("cluster", "to").count().select(rekeyed("cluster").alias("key"), F.col("to").alias("key_to"), F.ceil(F.col("count") / s.block).cast("int").alias("chunks"))
     going = travel.join(spread, (rekeyed("cluster") == F.col("key")) & (F.col("to") == F.col("key_to"))).select("id", "to", "chunks")
     # Hosts are those who share a band key with someone who travels.
-    near = large.join(reps.select("id", "bands"), "id").select("id", F.explode("bands").alias("band")).join(own.select("band").distinct(), "band", "left_semi").select("id").distinct()
+    near = apart.join(own.select("band").distinct(), "band", "left_semi").select("id").distinct()
     rows = cut(with_texts(large.join(near, "id", "left_semi")).select("cluster", "block", "id", "signature", "text"))
     guests = rows.select("cluster", "id", "signature", "text").join(going, "id").select("cluster", F.col("to").alias("block"), F.pmod(F.xxhash64("id", F.lit(2)), F.col("chunks")).cast("int").alias("chunk"), "id", "signature", "text")
     return links.unionByName(cut(_visits(rows, guests, s)).select("a", "b"))
