@@ -36,3 +36,7 @@ def test_odd_rows_through_derby(spark, tmp_path):
     assert jdbc.read(spark, c, "odd").where("id = 3 and s is null").count() == 2
     jdbc.write(df.where("id > 9"), c, "odd", "overwrite", read_write=True)
     assert jdbc.read(spark, c, "odd").count() == 0
+
+
+def test_embedded_jdbc_catalogs_on_a_cluster(tmp_path):
+    assert on_cluster(tmp_path, "jdbc_agg_pushdown") == [NATIONS, NATIONS]
