@@ -32,6 +32,8 @@ from tablebridge.sources import sqlite as lite
 from tablebridge.sources.documents import nested_to_json
 from tablebridge.sources.endpoints import EndpointSource
 
+#: Staged bytes from which on tasks prepare an insert into SQLite.
+SHARDED_BYTES = 4 << 20
 _FORMATS = {"sqlite": lite.SqliteSource, "duckdb": duck.DuckDBSource}
 
 
@@ -128,9 +130,10 @@ class Database:
     def _reader(self, **options: str):
         return self.spark.read.format(_FORMATS[self.system].name()).options(**{**self.options, **options})
 
-    def table(self, reference: str, columns: Iterable[str] | None = None, order_by: Iterable[tuple[str, bool, bool]] | None = None, limit: int | None = None, partition_column: str | None = None, num_partitions: int = 1) -> DataFrame:
+    def table(self, reference: str, columns: Iterable[str] | None = None, order_by: Iterable[tuple[str, bool, bool]] | None = None, limit: int | None = None, partition_column: str | None = None, num_partitions: int = 1, partition_rows: int | None = None) -> DataFrame:
         """A table, or a table function of DuckDB. Spark adds its filters to the remote query by itself; columns, order
-        (column, ascending, nulls first) and limit are given here."""
+        (column, ascending, nulls first) and limit are given here. ``partition_rows`` reads a table of SQLite in ranges of
+        about so many stored rows, one task each."""
         options = {"table": reference}
         if columns is not None:
             options["columns"] = json.dumps(list(columns))
@@ -140,6 +143,8 @@ class Database:
             options["limit"] = str(limit)
         if partition_column is not None:
             options |= {"partition_column": partition_column, "num_partitions": str(num_partitions)}
+        if partition_rows is not None:
+            options["partition_rows"] = str(partition_rows)
         return self._reader(**options).load()
 
     def query(self, select: q.Select | str) -> DataFrame:
@@ -234,6 +239,10 @@ class Database:
     def _insert_sqlite(self, name: str, df: DataFrame, mode: str, rule: str | None, on_commit) -> int:
         conflict = f" {parse_on_conflict(rule).sql(self.dialect.quote, df.columns)}" if rule else ""
         with self._staged(df) as paths:
+            # One file may have ten others attached.
+            slots = 10 - len(lite.attachments(self.options))
+            if len(paths) > 1 and slots > 0 and sum(map(os.path.getsize, paths)) >= SHARDED_BYTES:
+                return self._insert_shards(name, paths, slots, df.columns, conflict, mode == "overwrite", on_commit)
             c = self._connect(write=True)
             try:
                 return lite.load_staged(c, name, paths, df.columns, conflict, mode == "overwrite", on_commit)
@@ -242,6 +251,25 @@ class Database:
             finally:
                 c.close()
 
+    def _insert_shards(self, name: str, paths: list[str], slots: int, columns: list[str], conflict: str, overwrite: bool, on_commit) -> int:
+        """Tasks make SQLite files of the staged rows, which the database takes in without a value passing through Python here."""
+        n = min(slots, len(paths))
+        groups = [paths[len(paths) * i // n : len(paths) * (i + 1) // n] for i in range(n)]
+
+        def make(group: list[str]) -> tuple[str, int]:
+            shard = f"{group[0]}.{os.urandom(6).hex()}.sqlite"  # another name for each attempt
+            return shard, lite.make_shard(group, columns, shard)
+
+        made = self.spark.sparkContext.parallelize(groups, n).map(make).collect()
+        c = self._connect(write=True)
+        try:
+            lite.load_shards(c, name, [shard for shard, _ in made], columns, conflict, overwrite, on_commit)
+            return sum(rows for _, rows in made)
+        except Exception as e:
+            raise classify(e) from e
+        finally:
+            c.close()
+
     def _insert_duckdb(self, name: str, df: DataFrame, mode: str, rule: str | None, on_commit) -> int:
         names = ", ".join(map(self.dialect.quote, df.columns))
         conflict = f" {parse_on_conflict(rule).sql(self.dialect.quote, df.columns)}" if rule else ""
@@ -291,8 +319,8 @@ class Database:
             n = self.execute(f"UPDATE {self.dialect.quote(self._target(name))} SET {sets}{f' WHERE {text}' if text else ''}")
         return self.spark.range(1).selectExpr(f"cast({n} as bigint) as count")
 
-    def analyze(self) -> None:
-        self.execute("ANALYZE")
+    def analyze(self, name: str | None = None) -> None:
+        self.execute(f"ANALYZE {self.dialect.quote(name)}" if name else "ANALYZE")
 
     def checkpoint(self) -> None:
         self.execute("PRAGMA wal_checkpoint(TRUNCATE)" if self.system == "sqlite" else "CHECKPOINT")

@@ -80,6 +80,9 @@ class RemoteSource(DataSource):
     def bounds(self, select: q.Select, column: str) -> tuple[object, object]:
         raise NotImplementedError
 
+    def pieces(self, table: str, rows: int) -> list[q.Expr | None]:
+        raise InvalidOption(f"{self.dialect} has no rows in an order of its own: give a partition_column")
+
     def load(self, paths: list[str], schema: T.StructType, overwrite: bool) -> int:
         raise NotImplementedError
 
@@ -121,6 +124,8 @@ class RemoteReader(DataSourceReader):
 
     def partitions(self) -> list[InputPartition]:
         options = self.source.plain
+        if "partition_rows" in options and not {"limit", "order_by", "partition_column"} & set(options):
+            return [Range(where) for where in self.source.pieces(options["table"], int(options["partition_rows"]))]
         column, n = options.get("partition_column"), int(options.get("num_partitions", "1"))
         if not column or n <= 1 or "limit" in options:
             return [Range(None)]

@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from tablebridge import sqlgen as q
 from tablebridge.dialects import DIALECTS
-from tablebridge.errors import SchemaMismatch, UndefinedTable, classify
+from tablebridge.errors import InvalidOption, SchemaMismatch, UndefinedTable, classify
 from tablebridge.sources.remote import BATCH, RemoteSource, arrow_schema, staged_batches
 from tablebridge.types import sqlite_type
 
@@ -117,11 +117,60 @@ def _to_sqlite(value: object) -> object:
 def _values(column: pa.Array) -> list:
     """A column's values as the driver binds them; numbers and text need no conversion."""
     t = column.type
+    if pa.types.is_timestamp(t) and t.tz is None and t.unit in ("us", "ms", "s"):
+        column = pc.replace_substring_regex(column.cast(pa.timestamp("us")).cast(pa.string()), r"\.000000$", "")
+        t = column.type
+    elif pa.types.is_date32(t):
+        column = column.cast(pa.string())
+        t = column.type
+    if pa.types.is_string(t) or (column.null_count == 0 and (pa.types.is_integer(t) or pa.types.is_floating(t))):
+        return column.to_numpy(zero_copy_only=False).tolist()
     if pa.types.is_integer(t) or pa.types.is_floating(t) or pa.types.is_string(t) or pa.types.is_large_string(t) or pa.types.is_binary(t):
         return column.to_pylist()
     return [_to_sqlite(v) for v in column.to_pylist()]
 
 
+def make_shard(paths: list[str], names: list[str], shard: str) -> int:
+    """Rows of Parquet files as table ``s`` of a new SQLite file, each value as it is bound; returns their number."""
+    d, given = DIALECTS["sqlite"], 0
+    c = sqlite3.connect(shard, isolation_level=None)
+    try:
+        c.execute("PRAGMA journal_mode=OFF")
+        c.execute("PRAGMA synchronous=OFF")
+        c.execute(f"CREATE TABLE s ({', '.join(map(d.quote, names))})")
+        c.execute("BEGIN")
+        for batch in staged_batches(paths):
+            c.executemany(f"INSERT INTO s VALUES ({', '.join('?' * len(names))})", zip(*(_values(batch.column(n)) for n in names), strict=True))
+            given += batch.num_rows
+        c.execute("COMMIT")
+    finally:
+        c.close()
+    return given
+
+
+def load_shards(c: sqlite3.Connection, table: str, shards: list[str], names: list[str], conflict: str = "", overwrite: bool = False, on_commit: Callable[[sqlite3.Connection], None] | None = None) -> None:
+    """All rows of files made by :func:`make_shard`, in their order and in one transaction, in which ``on_commit`` runs last."""
+    d = DIALECTS["sqlite"]
+    columns, held = ", ".join(map(d.quote, names)), [f"shard_{i}" for i in range(len(shards))]
+    # Pages of the keys' indexes stay in memory, as keys may come in any order.
+    c.execute("PRAGMA cache_size=-131072")
+    try:
+        for name, shard in zip(held, shards, strict=True):
+            c.execute(f"ATTACH DATABASE ? AS {name}", (shard,))
+        c.execute("BEGIN IMMEDIATE")
+        if overwrite:
+            c.execute(f"DELETE FROM {d.table(table)}")
+        for name in held:
+            c.execute(f"INSERT INTO {d.table(table)} ({columns}) SELECT {columns} FROM {name}.s WHERE true{conflict}")
+        if on_commit is not None:
+            on_commit(c)
+        c.execute("COMMIT")
+    except BaseException:
+        if c.in_transaction:
+            c.execute("ROLLBACK")
+        raise
+
+
 def load_staged(c: sqlite3.Connection, table: str, paths: list[str], names: list[str], conflict: str = "", overwrite: bool = False, on_commit: Callable[[sqlite3.Connection], None] | None = None) -> int:
     """All rows of Parquet files with one prepared statement, in one transaction, in which ``on_commit`` runs last.
 
@@ -147,7 +196,7 @@ def load_staged(c: sqlite3.Connection, table: str, paths: list[str], names: list
 
 
 class SqliteSource(RemoteSource):
-    """Options: path, table or query, columns, order_by, limit, partition_column, num_partitions, attach_databases, read_write, on_conflict, staging."""
+    """Options: path, table or query, columns, order_by, limit, partition_column, num_partitions, partition_rows, attach_databases, read_write, on_conflict, staging."""
 
     dialect = "sqlite"
 
@@ -191,6 +240,17 @@ class SqliteSource(RemoteSource):
         with self._open() as c:
             return c.execute(f"SELECT MIN({d.quote(column)}), MAX({d.quote(column)}) FROM ({select.sql(d)})").fetchone()
 
+    def pieces(self, table: str, rows: int) -> list[q.Expr | None]:
+        """Conditions that cut a table into ranges of about so many rows in the order in which they are stored."""
+        d, key = DIALECTS["sqlite"], q.Column("rowid")
+        if "rowid" in (n.lower() for n in self.describe(q.Select(table)).names):
+            raise InvalidOption(f"{table} has a column rowid: give a partition_column")
+        with self._open() as c:
+            low, high = c.execute(f"SELECT (SELECT MIN(rowid) FROM {d.table(table)}), (SELECT MAX(rowid) FROM {d.table(table)})").fetchone()
+        cuts = list(range(low + rows, high + 1, rows)) if low is not None else []
+        ends = zip([None, *cuts], [*cuts, None], strict=True)
+        return [q.all_of([q.Binary(op, key, q.Literal(v)) for op, v in ((">=", a), ("<", b)) if v is not None]) for a, b in ends]
+
     def run(self, sql: str, schema: T.StructType) -> Iterator[pa.RecordBatch]:
         arrow = arrow_schema(schema)
         c = self._open()
