@@ -1,4 +1,4 @@
-"""Inserts into SQLite that tasks prepare, reads in ranges of stored rows."""
+"""Inserts into SQLite that tasks prepare, reads in ranges of stored rows, databases made table by table."""
 
 import datetime as dt
 import decimal
@@ -10,7 +10,7 @@ import pytest
 from tablebridge import catalog
 from tablebridge.catalog import open_database
 from tablebridge.errors import BridgeError, InvalidOption
-from tablebridge.plans import queries
+from tablebridge.plans import queries, workspace
 
 SF_DIR = "/root/testdata/sf0.001"
 ODD = "k long, s string, v double, n int, at timestamp, wall timestamp_ntz, day date, yes boolean, b binary, d decimal(20,2)"
@@ -66,6 +66,15 @@ def test_reads_in_ranges(spark, tmp_path):
         catalog.duck.DuckDBSource({}).pieces("t", 1)
 
 
+@pytest.mark.parametrize("name, made", [("agg_pivot", {"orders"}), ("intersect", {"customer", "supplier"})])
+def test_only_tables_of_the_query_are_made(spark, tmp_path, monkeypatch, name, made):
+    inserted = []
+    monkeypatch.setattr(workspace, "_MADE", {})
+    monkeypatch.setattr(catalog.Database, "insert", lambda self, table, *a, f=catalog.Database.insert, **b: inserted.append(table) or f(self, table, *a, **b))
+    assert queries.QUERIES[name](spark, SF_DIR).count() > 0 and set(inserted) == made
+    assert queries.database(spark, SF_DIR, "sales").tables() == ["customer", "orders"]
+
+
 def test_large_tables_are_read_by_many_tasks(spark, monkeypatch):
     monkeypatch.setattr(queries, "TASK_ROWS", 100)
     df = queries._sales(spark, SF_DIR, "orders", columns=["o_orderkey"])
