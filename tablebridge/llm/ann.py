@@ -217,34 +217,37 @@ def _first_lists(coded: DataFrame, s: Settings) -> DataFrame:
     return _merged(map_arrow(placed.repartitionByRange("tree", "place", "id").sortWithinPartitions("tree", "place", "id"), within, _LISTS), s.degree)
 
 
+def _limited(at: np.ndarray, who: np.ndarray, kind: np.ndarray, s: Settings, turn: int) -> np.ndarray:
+    """Positions of at most ``sample`` rows of each kind for each vertex, by a hash; sorted by vertex."""
+    with np.errstate(over="ignore"):
+        luck = (at * np.int64(-7046029254386353131) + who * np.int64(-4417276706812531889) + np.int64(turn)) * np.int64(-7723592293110705685)
+    order = np.lexsort((luck, kind, at))
+    at, kind = at[order], kind[order]
+    new = np.ones(len(at), dtype=bool)
+    new[1:] = (at[1:] != at[:-1]) | (kind[1:] != kind[:-1])
+    rank = np.arange(len(at)) - np.maximum.accumulate(np.where(new, np.arange(len(at)), 0))
+    return order[rank < s.sample]
+
+
 def _introductions(graph: DataFrame, s: Settings, turn: int) -> DataFrame:
-    """(at, who, fresh): who is to be introduced at a vertex; of each kind at most ``sample``, by a hash."""
-
-    def limited(at: np.ndarray, who: np.ndarray, kind: np.ndarray) -> pa.RecordBatch:
-        with np.errstate(over="ignore"):
-            luck = (at * np.int64(-7046029254386353131) + who * np.int64(-4417276706812531889) + np.int64(turn)) * np.int64(-7723592293110705685)
-        order = np.lexsort((luck, kind, at))
-        at, who, kind = at[order], who[order], kind[order]
-        new = np.ones(len(at), dtype=bool)
-        new[1:] = (at[1:] != at[:-1]) | (kind[1:] != kind[:-1])
-        rank = np.arange(len(at)) - np.maximum.accumulate(np.where(new, np.arange(len(at)), 0))
-        keep = rank < s.sample
-        return pa.RecordBatch.from_arrays([pa.array(at[keep]), pa.array(who[keep]), pa.array(kind[keep])], names=["at", "who", "kind"])
+    """(at, who, kind): who is to be introduced at a vertex; of a vertex's own choice at most ``sample`` of each kind.
+
+    Of those that chose a vertex, each batch sends at most ``sample``, so that a hub gets few; :func:`_met` chooses among them.
+    """
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             if b.num_rows:
-                ids, near, _, old = _flat(b)
-                own = limited(ids, near, old.astype(np.int8))
-                yield own
-                # Those named here learn who named them; a hub keeps ``sample`` from each batch at most.
-                yield limited(own.column(1).to_numpy(), own.column(0).to_numpy(), own.column(2).to_numpy() + np.int8(2))
+                at, who, _, old = _flat(b)
+                kind = old.astype(np.int8)
+                own = _limited(at, who, kind, s, turn)
+                at, who, kind = at[own], who[own], kind[own]
+                yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(who), pa.array(kind)], names=["at", "who", "kind"])
+                # Those named here learn who named them.
+                back = _limited(who, at, kind, s, turn)
+                yield pa.RecordBatch.from_arrays([pa.array(who[back]), pa.array(at[back]), pa.array(kind[back] + np.int8(2))], names=["at", "who", "kind"])
 
-    def receive(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in _whole(batches):
-            yield limited(*(c.to_numpy() for c in b.columns))
-
-    return map_arrow(_by(map_arrow(graph, send, "at long, who long, kind tinyint"), "at"), receive, "at long, who long, kind tinyint")
+    return map_arrow(graph, send, "at long, who long, kind tinyint")
 
 
 def _met(graph: DataFrame, s: Settings, turn: int) -> DataFrame:
@@ -254,6 +257,7 @@ def _met(graph: DataFrame, s: Settings, turn: int) -> DataFrame:
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in _whole(batches, 8000):
+            b = b.take(pa.array(_limited(*(b.column(i).to_numpy() for i in range(3)), s, turn)))
             at, who, kind, reach = (b.column(i).to_numpy() for i in range(4))
             x = _floats(b)
             starts = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
@@ -318,12 +322,7 @@ def build_graph(coded: DataFrame, s: Settings) -> DataFrame:
 # ---- search
 
 
-_STATE = "query long, code binary, scale float, ids array<long>, far array<float>, done array<boolean>, seen binary"
-
-
-def _short(ids: np.ndarray) -> np.ndarray:
-    with np.errstate(over="ignore"):
-        return ((ids.astype(np.int64).view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(32)).astype(np.uint32)
+_STATE = "query long, code binary, scale float, ids array<long>, far array<float>, done array<boolean>"
 
 
 def _advance(state: dict, ids: np.ndarray, far: np.ndarray, s: Settings) -> None:
@@ -349,54 +348,45 @@ def search(queries: DataFrame, graph: DataFrame, coded: DataFrame, s: Settings)
                 state = {"ids": entry_ids, "far": _squared(x[i : i + 1], entry_x)[0].astype(np.float32), "done": np.zeros(len(entry_ids), dtype=bool)}
                 if near:
                     _advance(state, np.array(near, dtype=np.int64), np.array(far, dtype=np.float32), s)
-                yield _state_row(query, b.column(1)[i].as_py(), b.column(2)[i].as_py(), state, np.unique(_short(np.concatenate([entry_ids, np.array(near or [], dtype=np.int64)]))))
+                yield _state_row(query, b.column(1)[i].as_py(), b.column(2)[i].as_py(), state)
 
     started = queries.join(graph.select(F.col("id").alias("start"), "near", "far"), "start", "left")
     state = cut(map_arrow(started.select("query", "code", "scale", "near", "far"), begin, _STATE))
-
-    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """(query, id): neighbours of the vertices in turn that the query hasn't seen."""
-        for query, part in _runs(batches):
-            own = next((r for r in part if r["seen"] is not None), None)
-            if own is None:
-                continue
-            ids = np.unique(np.array([x for r in part if r["near"] for x in r["near"]], dtype=np.int64))
-            ids = ids[~np.isin(_short(ids), np.frombuffer(own["seen"], dtype=np.uint32))]
-            if len(ids):
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(ids), query)), pa.array(ids)], names=["query", "id"])
+    context = spark.sparkContext
 
     def take(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for query, part in _runs(batches):
-            own = next((r for r in part if r["seen"] is not None), None)
+            own = next((r for r in part if r["ids"] is not None), None)
             if own is None:
                 continue
             x = np.frombuffer(own["code"], dtype=np.int8).astype(np.float32) * own["scale"]
             state = {"ids": np.array(own["ids"], dtype=np.int64), "far": np.array(own["far"], dtype=np.float32), "done": np.array(own["done"], dtype=bool)}
             state["done"][np.flatnonzero(~state["done"])[: s.expand]] = True
-            seen = np.frombuffer(own["seen"], dtype=np.uint32)
-            got = [r for r in part if r["seen"] is None]
+            got = [r for r in part if r["ids"] is None]
             if got:
                 ids = np.array([r["id"] for r in got], dtype=np.int64)
                 y = np.frombuffer(b"".join(r["code"] for r in got), dtype=np.int8).reshape(len(got), -1).astype(np.float32) * np.array([r["scale"] for r in got], dtype=np.float32)[:, None]
                 _advance(state, ids, _squared(x[None, :], y)[0], s)
-                seen = np.union1d(seen, _short(ids))
-            yield _state_row(query, own["code"], own["scale"], state, seen)
-
-    while True:  # a vertex is expanded once at most, and fewer vertices remain to be seen each round
+            open_.add(int(not state["done"].all()))
+            yield _state_row(query, own["code"], own["scale"], state)
+
+    kinds = {"ids": "array<long>", "far": "array<float>", "done": "array<boolean>"}
+    none = {c: F.lit(None).cast(kind) for c, kind in kinds.items()}
+    while True:  # a vertex is expanded once at most: what leaves a beam is farther than all that is in it from then on
+        # Tasks that run twice count twice, which can only make a round look unfinished.
+        open_ = context.accumulator(0)
         # The nearest vertices not yet expanded, at most ``expand`` of each query.
-        turn = state.select("query", F.slice(F.filter(F.transform("ids", lambda x, i: F.when(~F.get("done", i), x)), lambda x: x.isNotNull()), 1, s.expand).alias("turn"))
-        frontier = cut(turn.select("query", F.explode("turn").alias("id")))
-        if frontier.limit(1).count() == 0:
-            break
-        asked = frontier.join(graph.select("id", "near"), "id").select("query", "near", F.lit(None).cast("binary").alias("seen"))
-        active = state.join(frontier.select("query").distinct(), "query", "left_semi")
-        fresh = map_arrow(_by(asked.unionByName(active.select("query", F.lit(None).cast("array<long>").alias("near"), "seen")), "query"), ask, "query long, id long")
-        none = {c: F.lit(None) for c in ("ids", "far", "done", "seen")}
-        kinds = {"ids": "array<long>", "far": "array<float>", "done": "array<boolean>", "seen": "binary"}
-        reached = fresh.join(coded, "id").select("query", "id", "code", "scale", *(v.cast(kinds[c]).alias(c) for c, v in none.items()))
-        states = state.select("query", F.lit(None).cast("long").alias("id"), "code", "scale", "ids", "far", "done", "seen")
+        turn = F.slice(F.filter(F.transform("ids", lambda x, i: F.when(~F.get("done", i), x)), lambda x: x.isNotNull()), 1, s.expand)
+        asked = state.select("query", F.explode(turn).alias("id")).join(graph.select("id", "near"), "id").select("query", "near", none["ids"].alias("ids"))
+        # Neighbours of the vertices in turn that aren't in the beam, each once.
+        lists = asked.unionByName(state.where(F.exists("done", lambda x: ~x)).select("query", F.lit(None).cast("array<long>").alias("near"), "ids"))
+        lists = lists.groupBy("query").agg(F.flatten(F.collect_list("near")).alias("near"), F.first("ids", ignorenulls=True).alias("ids"))
+        fresh = lists.select("query", F.explode(F.array_except("near", "ids")).alias("id"))
+        reached = fresh.join(coded, "id").select("query", "id", "code", "scale", *(v.alias(c) for c, v in none.items()))
+        states = state.select("query", F.lit(None).cast("long").alias("id"), "code", "scale", "ids", "far", "done")
         state = cut(map_arrow(_by(reached.unionByName(states), "query"), take, _STATE))
-    return state.select("query", F.explode("ids").alias("id"))
+        if not open_.value:
+            return state.select("query", F.explode("ids").alias("id"))
 
 
 def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[dict]]]:
@@ -409,10 +399,10 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[dict]]]
                 at = i
 
 
-def _state_row(query: int, code: bytes, scale: float, state: dict, seen: np.ndarray) -> pa.RecordBatch:
+def _state_row(query: int, code: bytes, scale: float, state: dict) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
-        [pa.array([query], pa.int64()), pa.array([code], pa.binary()), pa.array([scale], pa.float32()), pa.array([state["ids"].tolist()], pa.list_(pa.int64())), pa.array([state["far"].tolist()], pa.list_(pa.float32())), pa.array([state["done"].tolist()], pa.list_(pa.bool_())), pa.array([seen.astype(np.uint32).tobytes()], pa.binary())],
-        names=["query", "code", "scale", "ids", "far", "done", "seen"],
+        [pa.array([query], pa.int64()), pa.array([code], pa.binary()), pa.array([scale], pa.float32()), pa.array([state["ids"].tolist()], pa.list_(pa.int64())), pa.array([state["far"].tolist()], pa.list_(pa.float32())), pa.array([state["done"].tolist()], pa.list_(pa.bool_()))],
+        names=["query", "code", "scale", "ids", "far", "done"],
     )
 
 
