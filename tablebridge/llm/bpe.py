@@ -62,11 +62,12 @@ class ByteBPE:
             newest = ab
             self.merged[a, b] = ab
             self.left[ab], self.right[ab] = a, b
-        self._shorter: dict[int, int] = {}
         self._fits: dict[int, bool] = {}
         # A token whose text other merges would take apart is in no encoding: the encoders must not know it.
         whole = self._whole()
         self.ids = {t: i for t, i in self.ids.items() if i in whole}
+        self.sizes = [len(t) for t in self.tokens]
+        self._shorter = [self._shorter_of(i) for i in range(size)]
         self.matcher = ahocorasick.Automaton()
         for t, i in self.ids.items():
             self.matcher.add_word(t, (i, len(t)))
@@ -149,16 +150,13 @@ class ByteBPE:
 
     # ---- backtracking
 
-    def shorter(self, token: int) -> int:
+    def _shorter_of(self, token: int) -> int:
         """The longest token that is a proper prefix of this one, or -1."""
-        found = self._shorter.get(token)
-        if found is None:
-            text, found = self.tokens[token], -1
-            for n in range(len(text) - 1, 0, -1):
-                if (found := self.ids.get(text[:n], -1)) >= 0:
-                    break
-            self._shorter[token] = found
-        return found
+        text = self.tokens[token]
+        for n in range(len(text) - 1, 0, -1):
+            if (found := self.ids.get(text[:n], -1)) >= 0:
+                return found
+        return -1
 
     def backtrack(self, piece: str) -> list[int]:
         """The tokens of a piece in Latin-1. Each position is given up once at most, so the time is linear."""
@@ -169,20 +167,25 @@ class ByteBPE:
         longest = [-1] * n
         for end, (token, size) in self.matcher.iter(piece):
             longest[end + 1 - size] = token  # ends rise, so the longest stays
-        open_, out, sizes, at = bytearray(b"\1" * (n + 1)), [], self.tokens, 0
-        token = longest[0]
+        # This loop is most of the time of encoding: known pairs are looked up here, without a call.
+        open_, out, sizes, shorter, known = bytearray(b"\1" * (n + 1)), [], self.sizes, self._shorter, self._fits
+        at, last, token = 0, -1, longest[0] if n else -1
         while at < n:
-            end = at + len(sizes[token])
-            if open_[end] and (not out or self.fits(out[-1], token)):
-                out.append(token)
-                at = end
-                token = longest[at] if at < n else -1
-                continue
-            token = self.shorter(token)
+            end = at + sizes[token]
+            if open_[end]:
+                ok = last < 0 or known.get(last << 20 | token)
+                if self.fits(last, token) if ok is None else ok:
+                    out.append(token)
+                    if end == n:
+                        break
+                    at, last, token = end, token, longest[end]
+                    continue
+            token = shorter[token]
             if token < 0:
                 open_[at] = 0
                 token = out.pop()
-                at -= len(sizes[token])
+                at -= sizes[token]
+                last = out[-1] if out else -1
         return out
 
     # ---- texts
@@ -224,13 +227,15 @@ class ByteBPE:
         return 1 if piece in self.ids else self.prefix_table(piece)[1][-1]
 
     def _encode(self, word: str) -> tuple[int, ...]:
+        if word.isascii() and (word[1:] if word[:1] == " " else word).isalpha():  # as in _pieces
+            return tuple(self.backtrack(word))
         pieces = self._pieces(word)
         if len(pieces) == 1:
             return self._encode_piece(pieces[0])
         return tuple(chain.from_iterable(map(self._piece_ids.__getitem__, pieces)))
 
     def _encode_piece(self, p: str) -> tuple[int, ...]:
-        return tuple(self.backtrack(p.encode().decode("latin-1")))
+        return tuple(self.backtrack(p if p.isascii() else p.encode().decode("latin-1")))
 
     def parts(self, text: str) -> list[tuple[str, int | None]]:
         """(plain text, None) and (special text, id) in order."""

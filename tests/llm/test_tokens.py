@@ -44,6 +44,15 @@ def test_vocabularies_with_tokens_that_fall_apart():
             assert coder.encode(text) == ids and coder.count(text) == len(ids), (text, merges)
 
 
+def test_known_pairs_are_looked_up_without_a_call(vocabulary, library, monkeypatch):
+    coder, r = ByteBPE(vocabulary), random.Random(9)
+    words = ["".join(r.choice("aeinrstlqxz") for _ in range(r.randrange(1, 30))) for _ in range(300)]
+    want = [library.encode(w, add_special_tokens=False).ids for w in words]
+    assert [coder.backtrack(w) for w in words] == want
+    monkeypatch.setattr(coder, "fits", None)
+    assert [coder.backtrack(w) for w in words] == want
+
+
 @hyp(max_examples=150, deadline=None)
 @given(st.text(max_size=24))
 def test_any_text(vocabulary, library, text):
