@@ -26,7 +26,7 @@ def encode(docs: DataFrame, vocabulary: bytes, id_col: str = "doc_id", text_col:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = bpe.load(vocabulary)
         for b in pieces(batches, 64):
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([coder.encode(t) for t in b.column(1).to_pylist()], pa.list_(pa.int32()))], names=["id", "ids"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(list(coder.encode_arrays(b.column(1).to_pylist())), pa.list_(pa.int32()))], names=["id", "ids"])
 
     kind = docs.schema[id_col].dataType.simpleString()
     return map_arrow(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), run, f"id {kind}, ids array<int>").withColumnRenamed("id", id_col)
@@ -49,18 +49,16 @@ def round_trip(docs: DataFrame, vocabulary: bytes, id_col: str = "doc_id", text_
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = bpe.load(vocabulary)
-        names = list(map(str, range(len(coder.tokens))))
         for b in pieces(batches):
             counts, ids_sha, text_sha = [], [], []
-            for text in b.column(1).to_pylist():
-                ids = coder.encode(text)
+            for ids in coder.encode_arrays(b.column(1).to_pylist()):
                 back = coder.decode_bytes(ids)
                 try:
                     back.decode()
                 except UnicodeDecodeError:
                     back = back.decode("utf-8", "replace").encode()
                 counts.append(len(ids))
-                ids_sha.append(hashlib.sha256(",".join(map(names.__getitem__, ids)).encode()).hexdigest())
+                ids_sha.append(hashlib.sha256(coder.decimals(ids)).hexdigest())
                 text_sha.append(hashlib.sha256(back).hexdigest())
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(counts, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(text_sha, pa.string())], names=["id", "n_tokens", "ids_sha256", "decoded_sha256"])
 

@@ -4,11 +4,12 @@ import hashlib
 import json
 import random
 
+import numpy as np
 from hypothesis import given
 from hypothesis import settings as hyp
 from hypothesis import strategies as st
 
-from tablebridge.llm import bpe_codec, token_counts
+from tablebridge.llm import bpe, bpe_codec, token_counts
 from tablebridge.llm.bpe import ByteBPE, load
 
 PARTS = ["a", "b", " ", "  ", "\n", "'", "'s", "'re", "!", "é", "ß", "中", "🙂", "<|endoftext|>", "<|", "|>", "endoftext", "1", "The", "\t", "\x1c", "\x85", "'ll", "ithe", "  ", "ः", "\U0001f9ff"]
@@ -53,6 +54,54 @@ def test_known_pairs_are_looked_up_without_a_call(vocabulary, library, monkeypat
     assert [coder.backtrack(w) for w in words] == want
 
 
+def test_unknown_words_are_encoded_together(vocabulary, library, monkeypatch):
+    coder, r, calls = ByteBPE(vocabulary), random.Random(11), []
+    one_by_one = coder.backtrack
+    monkeypatch.setattr(coder, "backtrack", lambda p: calls.append(p) or one_by_one(p))
+    words = ["".join(r.choice("aeinrstlqxzéßüАж") for _ in range(r.randrange(1, 14))) + r.choice(["", ".", ",", ".\nX", "%%%", "  "]) for _ in range(3000)]
+    text = " ".join([*words, "q" * 2000, "xy" * 3000])
+    ids = library.encode(text, add_special_tokens=False).ids
+    assert coder.encode(text) == ids and len(calls) < 100
+    assert coder.decimals(coder.encode_array(text)) == ",".join(map(str, ids)).encode() and coder.decimals(coder.encode_array(None)) == b""
+    texts = [None, "", " ", *(" ".join(r.sample(words, 20)) for _ in range(50)), "a\0b <|endoftext|>c"]
+    for ids, t in zip(coder.encode_arrays(texts), texts, strict=True):
+        assert ids.tolist() == library.encode(t or "", add_special_tokens=False).ids
+
+
+def test_array_code_backtracks_like_the_loop(monkeypatch):
+    """Merges in any order, pairs that share slots, and no word left for the loop."""
+    monkeypatch.setattr(bpe, "PAIR_SLOTS_LOG2", 3)
+    monkeypatch.setattr(bpe, "FEW", 1)
+    r, signs = random.Random(5), "abcd"
+    for _ in range(40):
+        vocab, merges = {c: i for i, c in enumerate([*signs, "Ġ"])}, []
+        for _ in range(20):
+            a, b = (r.choice([t for t in vocab if "Ġ" not in t]) for _ in range(2))
+            if a + b not in vocab:
+                vocab[a + b] = len(vocab)
+                merges.append(f"{a} {b}")
+        coder = ByteBPE(json.dumps({"pre_tokenizer": {"type": "ByteLevel"}, "model": {"type": "BPE", "vocab": vocab, "merges": merges}}).encode())
+        pieces = ["".join(r.choice(signs) for _ in range(r.randrange(1, 30))) for _ in range(200)]
+        want = [coder.backtrack(p) for p in pieces]
+        assert [np.frombuffer(b, dtype=np.intc).tolist() for b in coder._backtrack_all(pieces)] == want
+
+
+def test_known_words_stay_bounded(vocabulary, monkeypatch):
+    monkeypatch.setattr(bpe, "CACHE_WORDS", 400)
+    coder, r = ByteBPE(vocabulary), random.Random(12)
+    for _ in range(20):
+        coder.encode(" ".join("".join(r.choice("aeinrst") for _ in range(9)) for _ in range(150)))
+        assert len(coder.words) + len(coder.words.old) <= 800
+
+
+def test_letters_before_stops_are_cut_like_the_library(vocabulary, library):
+    coder = ByteBPE(vocabulary)
+    for c in map(chr, range(1, ord(bpe._STABLE) + 1)):
+        for word in (f" a{c}", f"{c}a.", f" {c},"):
+            want = [word[a:b] for _, (a, b) in library.pre_tokenizer.pre_tokenize_str(word)]
+            assert coder._words(word) == want or [p for w in coder._words(word) for p in coder._pieces(w)] == want, (c, word)
+
+
 @hyp(max_examples=150, deadline=None)
 @given(st.text(max_size=24))
 def test_any_text(vocabulary, library, text):
